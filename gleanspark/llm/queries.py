@@ -32,23 +32,42 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanspark.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanspark.llm import token_count
 
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanspark.llm import merkle
+
+    return merkle.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanspark.llm import decontaminate
 
     return decontaminate.mark_contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanspark.llm import sampled_pieces
+
+    return sampled_pieces.sample_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op5_token_count, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op4_toxicity, op5_token_count, op8_merkle, op9_decontaminate, op10_sampled_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from gleanspark.llm import decontaminate, url_filter
+    from gleanspark.llm import decontaminate, merkle, url_filter
 
-    return {"op1_url_filter": url_filter.oracle_sql(), "op9_decontaminate": decontaminate.ORACLE_SQL}
+    return {"op1_url_filter": url_filter.oracle_sql(), "op8_merkle": merkle.oracle_sql(), "op9_decontaminate": decontaminate.ORACLE_SQL}
