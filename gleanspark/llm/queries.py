@@ -45,6 +45,12 @@ def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanspark.llm import html_text
+
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanspark.llm import merkle
 
@@ -64,10 +70,10 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op4_toxicity, op5_token_count, op8_merkle, op9_decontaminate, op10_sampled_pieces)}
+    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op4_toxicity, op5_token_count, op6_html_text, op8_merkle, op9_decontaminate, op10_sampled_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from gleanspark.llm import decontaminate, merkle, url_filter
+    from gleanspark.llm import decontaminate, html_text, merkle, url_filter
 
-    return {"op1_url_filter": url_filter.oracle_sql(), "op8_merkle": merkle.oracle_sql(), "op9_decontaminate": decontaminate.ORACLE_SQL}
+    return {"op1_url_filter": url_filter.oracle_sql(), "op6_html_text": html_text.ORACLE_SQL, "op8_merkle": merkle.oracle_sql(), "op9_decontaminate": decontaminate.ORACLE_SQL}
