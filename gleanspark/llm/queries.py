@@ -51,6 +51,12 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanspark.llm import context_mixing
+
+    return context_mixing.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanspark.llm import merkle
 
@@ -70,7 +76,7 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op4_toxicity, op5_token_count, op6_html_text, op8_merkle, op9_decontaminate, op10_sampled_pieces)}
+    return {f.__name__: f for f in (op1_url_filter, op2_simhash, op3_secret_scan, op4_toxicity, op5_token_count, op6_html_text, op7_context_mixing, op8_merkle, op9_decontaminate, op10_sampled_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
