@@ -8,7 +8,7 @@ from gleanspark.llm import toxicity
 from gleanspark.llm.sampled_pieces import Sampler
 from gleanspark.llm.secret_scan import SecretScanner, redact
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 def test_equals_a_plain_version(spark):
