@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from gleanspark.llm.arrowmap import slices
 
 DRAWS = 2
 SPACE = "▁"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 3_000_000
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,14 +74,14 @@ class Pieces:
         self.by_length = {}
         for length in sorted({len(p) for p in text.values()}):
             ids = np.array([i for i in normal if len(text[i]) == length])
-            chars = np.array([list(map(ord, text[i])) for i in ids.tolist()], np.uint32)
+            chars = np.array([list(map(ord, text[i])) for i in ids.tolist()], np.uint32, order="F")
             hashes = np.zeros(len(ids), np.uint64)
             for j in range(length):
                 hashes = hashes * _STEP + chars[:, j] + np.uint64(1)
             order = np.argsort(hashes)
             bits = np.zeros(1 << 18, bool)
             bits[hashes >> np.uint64(46)] = True
-            self.by_length[length] = hashes[order], ids[order], chars[order], bits
+            self.by_length[length] = hashes[order], ids[order], np.asfortranarray(chars[order]), bits
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that pieces stand for, the leading space included."""
@@ -95,7 +96,7 @@ def pieces_of(model_file: str) -> Pieces:
 
 
 class Lattice:
-    """All edges of distinct words: by the character they leave, likeliest first."""
+    """All edges of distinct words; those that leave a character stand together, the longest first."""
 
     def __init__(self, words: list[str], pieces: Pieces):
         sizes = np.array(list(map(len, words)), np.int64)
@@ -104,60 +105,74 @@ class Lattice:
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = len(chars)
         left = np.repeat(self.ends, sizes) - np.arange(n)
-        at, length, piece = [], [], []
+        # Edges of each length; a key of (characters left, character, shorter last) brings them in order.
+        rank = (left * n + np.arange(n)) * 32 + 31
+        keys, piece, logs = [], [], []
         hashes, held = np.zeros(n, np.uint64), np.arange(n)
         for size in range(1, max(pieces.by_length) + 1):
-            held = held[left[held] >= size]
-            hashes = hashes[: len(held)] if size == 1 else hashes[left[self._before] >= size]
-            hashes = hashes * _STEP + chars[held + size - 1] + np.uint64(1)
-            self._before = held
+            more = left[held] >= size
+            hashes, held = hashes[more], held[more]
+            hashes = hashes * _STEP + chars[held + (size - 1)] + np.uint64(1)
             if size not in pieces.by_length:
                 continue
-            keys, ids, text, bits = pieces.by_length[size]
-            maybe = np.flatnonzero(bits[hashes >> np.uint64(46)])
-            found = np.minimum(np.searchsorted(keys, hashes[maybe]), len(keys) - 1)
-            same = keys[found] == hashes[maybe]
+            known, ids, text, bits = pieces.by_length[size]
+            maybe = np.flatnonzero(bits.take((hashes >> np.uint64(46)).astype(np.int64)))
+            found = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
+            same = known.take(found) == hashes[maybe]
             maybe, found = held[maybe[same]], found[same]
+            same = np.ones(len(maybe), bool)
             for j in range(size):
-                same = chars[maybe + j] == text[found, j]
+                same &= chars.take(maybe + j) == text[:, j].take(found)
+            if not same.all():
                 maybe, found = maybe[same], found[same]
-            at.append(maybe)
-            length.append(np.full(len(maybe), size))
-            piece.append(ids[found])
-        del self._before
-        lone = np.ones(n, bool)
-        if at:
-            lone[at[0]] = False
+            if size == 1:
+                lone = np.ones(n, bool)
+                lone[maybe] = False
+            keys.append(rank.take(maybe) - size)
+            piece.append(ids.take(found))
+            logs.append(pieces.logs.take(piece[-1]))
+        # What is no piece becomes bytes.
         lone = np.flatnonzero(lone)
-        at, length, piece = (np.concatenate([*x, y]) for x, y in ((at, lone), (length, np.ones(len(lone), np.int64)), (piece, np.full(len(lone), -1))))
-        code = chars[at]
-        self.width = np.where(piece >= 0, 1, np.where(code < 0x80, 1, np.where(code < 0x800, 2, np.where(code < 0x10000, 3, 4))))
-        logs = np.where(piece >= 0, pieces.logs[piece], self.width * (2 * pieces.logs.min()))
-        order = np.argsort(left[at] * n + at)
-        at, length, piece, logs, self.width = (x[order] for x in (at, length, piece, logs, self.width))
+        code = chars[lone]
+        self.bytes_of = np.ones(n, np.int8)
+        self.bytes_of[lone] = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        keys, piece = np.concatenate([*keys, rank[lone] - 1]), np.concatenate([*piece, np.full(len(lone), -1)])
+        logs = np.concatenate([*logs, self.bytes_of[lone] * (2 * pieces.logs.min())])
+        order = np.argsort(keys)
+        keys, self.piece, logs = keys.take(order), piece.astype(np.int32).take(order), logs.take(order)
+        length = 31 - (keys & 31)
+        at = (keys >> 5) % n
+        del keys, order, piece, rank, hashes, held
         # Total weight of what follows each character, from the words' ends backwards.
         beta, share = np.zeros(n + 1), np.empty(len(at))
-        cuts = np.flatnonzero(np.diff(left[at], prepend=0))
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], strict=True):
-            here = at[a:b]
-            total = logs[a:b] + np.where(length[a:b] < left[here], beta[here + length[a:b]], 0.0)
-            first = np.flatnonzero(np.diff(here, prepend=-1))
-            beta[here[first]] = np.logaddexp.reduceat(total, first)
-            share[a:b] = total - beta[here]
-        order = np.argsort(at + 0.5 * (1.0 - np.exp(share)))
-        self.length, self.piece, self.width, self.log = (x[order] for x in (length, piece, self.width, np.minimum(share, 0.0)))
-        at = at[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
+        begins = np.flatnonzero(np.diff(at, prepend=-1))
+        self.first = np.zeros(n + 1, np.int64)
+        self.first[at[begins]] = begins
+        self.out = np.zeros(n + 1, np.int64)
+        self.out[at[begins]] = np.diff(begins, append=len(at))
+        levels = left[at]
+        cuts = np.flatnonzero(np.diff(levels, prepend=0))
+        follows = np.where(length < levels, at + length, n)  # beta[n] stays 0 for a word's end
+        marks = np.searchsorted(begins, [*cuts.tolist(), len(at)])
+        for i, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], strict=True)):
+            total = logs[a:b] + beta.take(follows[a:b])
+            own = begins[marks[i] : marks[i + 1]]
+            weight = np.logaddexp.reduceat(total, own - a)
+            beta[at.take(own)] = weight
+            share[a:b] = total - np.repeat(weight, np.diff(own, append=b))
+        del levels, follows, logs
+        self.length, self.log = length.astype(np.int8), np.minimum(share, 0.0, out=share)
         p = np.exp(self.log)
         total = np.cumsum(p)
-        self.below = total - np.concatenate([[0.0], total])[self.first[at]]
-        self.below[self.first[1:] - 1] = 1.0
-        single = self.first[at + 1] - self.first[at] == 1
+        total -= np.repeat(total.take(begins) - p.take(begins), np.diff(begins, append=len(at)))
+        self.below = total.astype(np.float32)
+        self.below[np.append(begins[1:], len(at)) - 1] = 1.0
+        single = self.out.take(at) == 1
         self.log[single] = 0.0
         with np.errstate(divide="ignore"):
-            self.log_other = np.where(single, -np.inf, np.log(-np.expm1(np.minimum(self.log, -1e-15))))
-        self.chars = chars
-        self.left = np.append(left, 0)
+            self.log_other = np.log(-np.expm1(np.minimum(self.log, -1e-15))).astype(np.float32)
+        self.log_other[single] = -np.inf
+        self.chars, self.left = chars, np.append(left, 0)
 
     def walk(self, states: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Draws the rest of each word from its state on: (edges, their states, edges of each word)."""
@@ -184,9 +199,11 @@ class Lattice:
 
     def ids(self, edges: np.ndarray, states: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
         """(token ids, tokens of each edge)."""
-        width = self.width[edges]
-        ids = np.repeat(self.piece[edges], width)
-        spelled = np.flatnonzero(self.piece[edges] < 0)
+        piece = self.piece[edges]
+        spelled = np.flatnonzero(piece < 0)
+        width = np.ones(len(edges), np.int64)
+        width[spelled] = self.bytes_of[states[spelled]]
+        ids = np.repeat(piece, width)
         if len(spelled):
             at = np.cumsum(width) - width
             code, at, size = self.chars[states[spelled]], at[spelled], width[spelled]
@@ -203,6 +220,14 @@ def _seed(key) -> int:
     return int.from_bytes(hashlib.blake2b(str("null" if key is None else key).encode(), digest_size=8).digest(), "little")
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class _Path:
     """One draw of every text of a slice: edges, their states and words, and the queue of sets left behind."""
 
@@ -217,10 +242,10 @@ class Sampler:
 
     def __call__(self, keys: list, texts: list[str | None]):
         """Yields (row, draw, ids, log_prob, value, log_inclusion) for the texts, in no set order."""
-        index: dict[str, int] = {}
+        index = _Numbers()
         split = [_WORDS.findall(f"{SPACE}{t}".replace(" ", SPACE)) if t else [] for t in texts]
-        number = np.array([index.setdefault(w, len(index)) for words in split for w in words], np.int64)
         sizes = np.array(list(map(len, split)), np.int64)
+        number = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         full = np.flatnonzero(sizes)
         seeds = np.array(list(map(_seed, keys)), np.uint64)
         for row in np.flatnonzero(sizes == 0).tolist():
@@ -332,7 +357,8 @@ class _Search:
             path = self.paths[q]
             at = int(path.at[path.row[row]])
             state, word = int(path.states[at + place]), int(path.words[at + place])
-            out = [e for e in range(int(lattice.first[state]), int(lattice.first[state + 1])) if e not in taken]
+            start = int(lattice.first[state])
+            out = [e for e in range(start, start + int(lattice.out[state])) if e not in taken]
             p = np.cumsum(np.exp(lattice.log[out]))
             edge = out[min(int(np.searchsorted(p, x * p[-1], "right")), len(out) - 1)]
             rest = [e for e in out if e != edge]
