@@ -2,8 +2,8 @@
 
 Tokens are words with A-Z lower-cased, then one end. A word among the HEAD most frequent training words, met twice or more, is
 a path of bits in a Huffman code; any other is the path of an escape and then its bytes, bit by bit. Each bit
-is predicted in several contexts: the code's node alone; hashed with the word before, with both words before,
-with the endings of both; for bytes, hashed with the two, three or five bytes before in the word. A further
+is predicted in several contexts: the code's node alone; hashed with the word before, and with the endings of
+the two words before; for bytes, hashed with the two, three or five bytes before in the word. A further
 predictor follows the last place in the same document where the two words before stood, and so adapts as the
 document is read. Predictions are log-odds, added with weights that a gate picks by depth and by how long that
 last predictor has been right; a final table by gate and prediction refines the result. Every step depends on
@@ -29,6 +29,7 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +43,15 @@ from gleanspark.llm.components import with_checkpoints
 FOLDS, HELD_OUT = 10, 0
 HEAD = 1 << 17
 TABLE_BITS = 20
-WORD_TABLES, BYTE_TABLES = ("before", "two", "endings"), ("bytes2", "bytes3", "bytes5")
+WORD_TABLES, BYTE_TABLES = ("before", "endings"), ("bytes2", "bytes3", "bytes5")
 TABLES = (*WORD_TABLES, *BYTE_TABLES)
 SEGMENT = 1 << 14
-LEARN_ROWS, LEARN_CHARS = 600, 20_000
-CHUNK = 1 << 15
+LEARN_ROWS, LEARN_CHARS = 400, 20_000
+CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 4_000_000
-DEPTHS, RUNS, BUCKETS = 16, 5, 33
+DEPTHS, RUNS, BUCKETS, LIMIT, FINE = 16, 5, 33, 16, 16
 _MIX = np.uint32(0x9E3779B1)
 
 
@@ -116,7 +117,8 @@ class Code:
         self.bits = ((aligned[who] >> (np.uint64(63) - k.astype(np.uint64))) & np.uint64(1)).astype(np.uint8)
         prefix = np.where(k > 0, aligned[who] >> (np.uint64(64) - np.maximum(k, 1).astype(np.uint64)), np.uint64(0)) + (np.uint64(1) << k.astype(np.uint64))
         nodes, self.path = np.unique(prefix, return_inverse=True)
-        self.path = self.path.astype(np.int32)
+        #: Node and bit of each step of each path, as 2 * node + bit.
+        self.steps = (self.path * 2 + self.bits).astype(np.int32)
         weight = np.maximum(self.counts, 1)[who].astype(float)
         ones = np.bincount(self.path, weight * self.bits, minlength=len(nodes))
         both = np.bincount(self.path, weight, minlength=len(nodes))
@@ -136,6 +138,35 @@ def _slots(context: np.ndarray, node: np.ndarray) -> np.ndarray:
     return (x >> np.uint32(32 - TABLE_BITS)).astype(np.int64)
 
 
+def _hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(a 32-bit hash above all numbers of the head, `_ending`) of each word."""
+    if not words:
+        return np.empty(0, np.uint32), np.empty(0, np.uint32)
+    flat = np.frombuffer(b"\x00".join(words) + b"\x00", np.uint8).astype(np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    first = np.cumsum(sizes) - sizes
+    place = (np.arange(len(flat)) - np.repeat(first, sizes)).astype(np.uint32)
+    x = (flat + place * np.uint32(0x9E3779B1)) * np.uint32(0x85EBCA6B)
+    names = np.add.reduceat((x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35), first, dtype=np.uint32) | np.uint32(1 << 31)
+    last = first + sizes - 2
+    one = flat[last]
+    two = flat[np.maximum(last - 1, 0)]
+    return names, np.where(sizes > 2, two | one << np.uint32(8), one) + np.uint32(4)
+
+
+class Column(NamedTuple):
+    """One bit of many tokens (or bytes): those at `rows` of the source's order, all at one depth."""
+
+    rows: slice
+    node: np.ndarray
+    bits: np.ndarray
+    #: One gate for all, or one for each.
+    gate: int | np.ndarray
+    #: 1 or -1 for the bit that the follower expects, 0 for none; None if none expects any.
+    sign: np.ndarray | None
+    run: int
+
+
 class _Numbers(dict):
     """Numbers of the head's words; a word that is missing gets the next one after the code's symbols."""
 
@@ -172,16 +203,23 @@ class Stream:
         self.symbol[token == code.start] = code.escape
         self.sizes = sizes
         # Numbers of rare words differ between slices, so a hash of the word stands for them.
-        names = np.concatenate([np.arange(code.start + 1), np.fromiter(((zlib.crc32(w) | 1 << 31) for w in self.rare), np.int64, len(self.rare))]).astype(np.uint32)
-        endings = np.concatenate([code.ending, np.fromiter(map(_ending, self.rare), np.uint32, len(self.rare))])
-        a, b = names[one], names[two]
-        self.contexts = {
-            "before": (a + np.uint32(1)) * np.uint32(0xC2B2AE35),
-            "two": ((a + np.uint32(2)) * np.uint32(0x27D4EB2F)) ^ ((b + np.uint32(3)) * np.uint32(0x165667B1)),
+        rare_names, rare_endings = _hashes(self.rare)
+        names = np.concatenate([np.arange(code.start + 1, dtype=np.uint32), rare_names])
+        endings = np.concatenate([code.ending, rare_endings])
+        contexts = {
+            "before": (names[one] + np.uint32(1)) * np.uint32(0xC2B2AE35),
             "endings": ((endings[one] + np.uint32(5)) * np.uint32(0xB5297A4D)) ^ ((endings[two] + np.uint32(7)) * np.uint32(0x68E31DA4)),
         }
+        self.run, self.shared = np.zeros(n, np.int16), None
         if follow:
             self._follow(np.repeat(np.arange(len(sizes)), sizes), one, two)
+        # Tokens of one run by falling length, so that those that have a bit at some depth stand together.
+        length = code.lengths[self.symbol]
+        self.order = np.argsort(self.run * np.int16(64) - length.astype(np.int16), kind="stable")
+        self.length, self.at = length[self.order], code.at[self.symbol][self.order]
+        self.contexts = {k: v[self.order] for k, v in contexts.items()}
+        self.run = self.run[self.order]
+        self.shared = None if self.shared is None else self.shared[self.order]
 
     def _follow(self, doc, one, two) -> None:
         """What followed the last time that the two tokens before stood in this document, and for how long that has been right."""
@@ -195,7 +233,7 @@ class Stream:
         right = guess == self.token
         wrong_at = np.maximum.accumulate(np.where(right, -1, np.arange(n)))
         run = np.arange(n) - 1 - np.concatenate([[-1], wrong_at[:-1]])
-        self.run = np.where(guess < 0, 0, 1 + (run > 0) + (run > 3) + (run > 15)).astype(np.int8)
+        self.run = np.where(guess < 0, 0, 1 + (run > 0) + (run > 3) + (run > 15)).astype(np.int16)
         code = self.code
         symbol = np.where(guess > code.start, code.escape, np.maximum(guess, 0))
         differ = code.aligned[symbol] ^ code.aligned[self.symbol]
@@ -204,32 +242,25 @@ class Stream:
         shared = np.where((differ != 0) & (np.right_shift(differ, np.minimum(63 - shared, 63).astype(np.uint64)) == 0), shared + 1, shared)
         self.shared = np.where(guess < 0, -1, np.minimum(shared, 63)).astype(np.int8)
 
-    def chunks(self):
-        """(tokens' numbers, depths, nodes, bits, first bit of each token) of the words' bits, CHUNK at a time."""
-        code, sizes = self.code, self.code.lengths[self.symbol]
-        ends = np.cumsum(sizes)
-        shift = code.at[self.symbol] - (ends - sizes)
-        at = 0
-        while at < len(sizes):
-            before = int(ends[at - 1]) if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
-            size = sizes[at:to]
-            starts = ends[at:to] - size - before
-            who = np.repeat(np.arange(at, to), size)
-            bit = np.arange(before, before + len(who))
-            depth = bit - np.repeat(starts + before, size)
-            place = bit + np.repeat(shift[at:to], size)
-            yield who, depth, code.path.take(place), code.bits.take(place), starts
-            at = to
-
-    def slots(self, table: str, who: np.ndarray, node: np.ndarray) -> np.ndarray:
-        return _slots(self.contexts[table].take(who), node)
-
-    def expected(self, who, depth, bits):
-        """(gate's run, 1 or -1 for the bit that the follower expects and 0 for none)."""
-        shared = self.shared.take(who)
-        sign = ((depth < shared).view(np.int8) - (depth == shared).view(np.int8)) * (2 * bits.view(np.int8) - 1)
-        return self.run.take(who) * (sign != 0), sign
+    def columns(self):
+        """All bits of all words, CHUNK tokens and one depth at a time."""
+        cuts = np.searchsorted(self.run, np.arange(RUNS + 1))
+        for run in range(RUNS):
+            for lo in range(int(cuts[run]), int(cuts[run + 1]), CHUNK):
+                length = self.length[lo : min(int(cuts[run + 1]), lo + CHUNK)]
+                left = np.searchsorted(-length, -np.arange(int(length[0])), "left")
+                for depth, n in enumerate(left.tolist()):
+                    rows = slice(lo, lo + n)
+                    step = self.code.steps.take(self.at[rows] + depth)
+                    bits, gate, sign = step & 1, min(depth, DEPTHS - 1), None
+                    if run:
+                        shared = self.shared[rows]
+                        sign = ((depth < shared).view(np.int8) - (depth == shared).view(np.int8)) * (2 * bits - 1)
+                        gate = gate + (sign != 0) * np.int64(run * DEPTHS)
+                    yield Column(rows, step >> 1, bits, gate, sign, run)
+
+    def slots(self, table: str, column: Column) -> np.ndarray:
+        return _slots(self.contexts[table][column.rows], column.node)
 
 
 class Spelling:
@@ -245,22 +276,24 @@ class Spelling:
             byte = np.concatenate([np.zeros(j, np.uint32), flat[:-j]])[: len(flat)] + np.uint32(1)
             h = h * np.uint32(0x01000193) + byte * (inside >= j).astype(np.uint32)
             back[j] = (h + np.uint32(j)) * np.uint32(0xC2B2AE35)
-        self.contexts = {f"bytes{j}": back[j] for j in (2, 3, 5)}
-        self.flat, self.inside = flat, np.minimum(inside, 3)
-        self.times = np.ones(len(flat)) if times is None else np.repeat(times, sizes)
-
-    def chunks(self):
-        step = CHUNK // 8
-        for at in range(0, len(self.flat), step):
-            byte = self.flat[at : at + step, None]
-            depth = np.arange(8, dtype=np.uint32)
-            node = (np.uint32(1) << depth) | (byte >> (np.uint32(8) - depth))
-            bits = ((byte >> (np.uint32(7) - depth)) & np.uint32(1)).astype(np.uint8)
-            who = np.repeat(np.arange(at, at + len(byte)), 8)
-            yield who, np.tile(np.arange(8), len(byte)), node.ravel(), bits.ravel(), np.arange(0, len(who), 8)
-
-    def slots(self, table, who, node):
-        return _slots(self.contexts[table].take(who), node)
+        inside = np.minimum(inside, 3)
+        self.order = np.argsort(inside.astype(np.int8), kind="stable")
+        self.contexts = {f"bytes{j}": back[j][self.order] for j in (2, 3, 5)}
+        self.flat, self.cuts = flat[self.order], np.concatenate([[0], np.cumsum(np.bincount(inside, minlength=4))])
+        self.times = np.ones(len(flat)) if times is None else np.repeat(times, sizes)[self.order]
+
+    def columns(self):
+        """All bits of all bytes; those at one place of a word (0, 1, 2, or later) and one depth at a time."""
+        for place in range(4):
+            for lo in range(int(self.cuts[place]), int(self.cuts[place + 1]), CHUNK):
+                rows = slice(lo, min(int(self.cuts[place + 1]), lo + CHUNK))
+                byte = self.flat[rows]
+                for depth in range(8):
+                    node = byte >> np.uint32(8 - depth) | np.uint32(1 << depth)
+                    yield Column(rows, node, (byte >> np.uint32(7 - depth) & np.uint32(1)).astype(np.int32), depth * 4 + place, None, 0)
+
+    def slots(self, table: str, column: Column) -> np.ndarray:
+        return _slots(self.contexts[table][column.rows], column.node)
 
 
 def _counted(docs: DataFrame, text_col: str) -> DataFrame:
@@ -323,12 +356,12 @@ class _Counts:
     def add(self, source) -> None:
         self.empty = False
         held, weights, size = {t: [] for t in self.tables}, [], 0
-        for who, _, node, bits, _ in source.chunks():
+        for column in source.columns():
             for t, parts in held.items():
-                parts.append(source.slots(t, who, node) * 2 + bits)
+                parts.append(source.slots(t, column) * 2 + column.bits)
             if isinstance(source, Spelling):
-                weights.append(source.times[who])
-            size += len(who)
+                weights.append(source.times[column.rows])
+            size += len(column.bits)
             if size > 1 << 22:
                 self._flush(held, weights)
                 size = 0
@@ -399,28 +432,33 @@ def _odds(zero, one) -> np.ndarray:
 
 
 class Mixer:
-    """Weights by gate over the inputs, and the table that refines their sum."""
+    """Weights by gate over the inputs, a bias by gate, and the table that refines their sum."""
 
     def __init__(self, inputs: int, gates: int):
         self.weights = np.full((inputs, gates), 0.35, np.float32)
-        self.table = np.tile(1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2)), (gates, 1)).astype(np.float32)
+        self.bias = np.zeros(gates, np.float32)
         self.seen = np.full((gates, BUCKETS), 4.0)
-        self.ones = self.table * self.seen
+        self.ones = self.seen / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2))
+        self.logs = self._logs()
 
     def sum(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
-        x = np.zeros(len(gate), np.float32)
+        x = np.zeros(len(inputs[0]), np.float32) + self.bias.take(gate)
         for i, value in enumerate(inputs):
             x += self.weights[i].take(gate) * value
-        return np.clip(x, -16, 16, out=x)
+        return np.clip(x, -LIMIT, LIMIT, out=x)
+
+    def costs(self, x, gate, bits) -> np.ndarray:
+        """log10 probability of each bit, looked up by gate and by the sum to the nearest FINE-th."""
+        at = ((x + np.float32(LIMIT)) * np.float32(FINE) + np.float32(0.5)).astype(np.int64)
+        return self.logs.take((gate * (2 * LIMIT * FINE + 1) + at) * 2 + bits)
 
-    def refined(self, x, gate) -> np.ndarray:
-        """Probability of a 1: the mean of the mixed one and the table's, between its two nearest buckets."""
-        place = np.clip(x * np.float32(2) + np.float32(BUCKETS // 2), np.float32(0), np.float32(BUCKETS - 1.001))
-        low = place.astype(np.int64)
-        part = place - low.astype(np.float32)
-        flat, at = self.table.ravel(), gate * BUCKETS + low
-        near = flat.take(at)
-        return np.float32(0.5) * (np.float32(1) / (np.float32(1) + np.exp(-x)) + near + part * (flat.take(at + 1) - near))
+    def _logs(self) -> np.ndarray:
+        """For each gate, sum and bit: log10 of the mean of the mixed probability and the learned table's."""
+        x = np.arange(2 * LIMIT * FINE + 1) / FINE - LIMIT
+        learned = np.clip(self.ones / self.seen, 1e-4, 1 - 1e-4)
+        own = np.stack([np.interp(x * 2 + BUCKETS // 2, np.arange(BUCKETS), row) for row in learned])
+        p = 0.5 / (1 + np.exp(-x)) + 0.5 * own
+        return np.log10(np.stack([1 - p, p], axis=-1)).astype(np.float32).ravel()
 
     def learn(self, inputs: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, rate: float = 0.02, size: int = 2048) -> None:
         """One online pass, in steps of `size` bits."""
@@ -431,6 +469,7 @@ class Mixer:
             x = self.sum(part, g)
             error = y - 1 / (1 + np.exp(-x))
             n = np.sqrt(np.maximum(np.bincount(g, minlength=gates), 1))
+            self.bias += 0.1 * rate * np.bincount(g, error, minlength=gates) / n
             for i, value in enumerate(part):
                 self.weights[i] += rate * np.bincount(g, error * value, minlength=gates) / n
             place = np.clip(x * 2 + BUCKETS // 2, 0, BUCKETS - 1.001)
@@ -440,33 +479,31 @@ class Mixer:
             for cell, w in ((at, 1 - share), (at + 1, share)):
                 self.seen += np.bincount(cell, w, minlength=gates * BUCKETS).reshape(self.seen.shape)
                 self.ones += np.bincount(cell, w * y, minlength=gates * BUCKETS).reshape(self.seen.shape)
-        self.table = np.clip(self.ones / self.seen, 1e-4, 1 - 1e-4).astype(np.float32)
+        self.logs = self._logs()
 
 
 class Model:
     def __init__(self, code: Code, odds: dict[str, np.ndarray]):
         self.code, self.odds = code, odds
         self.follow = np.zeros(RUNS, np.float32)
-        self.mixers = {"words": Mixer(6, RUNS * DEPTHS), "bytes": Mixer(4, 8 * 4)}
+        self.mixers = {"words": Mixer(2 + len(WORD_TABLES), RUNS * DEPTHS), "bytes": Mixer(len(BYTE_TABLES), 8 * 4)}
 
-    def inputs(self, source, who, depth, node, bits, look):
-        """Predictors' log-odds and gates; `look(table, slots)` gives those of hashed contexts."""
-        even = np.full(len(who), 0.3, np.float32)
-        if isinstance(source, Stream):
-            run, sign = source.expected(who, depth, bits)
-            made = [self.code.plain.take(node), *(look(t, source.slots(t, who, node)) for t in WORD_TABLES), self.follow.take(run) * sign, even]
-            return made, run * np.int64(DEPTHS) + np.minimum(depth, DEPTHS - 1)
-        return [*(look(t, source.slots(t, who, node)) for t in BYTE_TABLES), even], depth * 4 + source.inside.take(who)
+    def inputs(self, source, column: Column, look) -> list[np.ndarray]:
+        """The predictors' log-odds; `look(table, slots)` gives those of hashed contexts."""
+        if isinstance(source, Spelling):
+            return [look(t, source.slots(t, column)) for t in BYTE_TABLES]
+        made = [self.code.plain.take(column.node), *(look(t, source.slots(t, column)) for t in WORD_TABLES)]
+        return made if column.sign is None else [*made, self.follow[column.run] * column.sign]
 
     def costs(self, source) -> np.ndarray:
         """log10 probability of each token's path, or of each byte."""
         mixer = self.mixers["words" if isinstance(source, Stream) else "bytes"]
-        look, out = (lambda t, slots: self.odds[t].take(slots)), []
-        for who, depth, node, bits, starts in source.chunks():
-            made, gate = self.inputs(source, who, depth, node, bits, look)
-            p = mixer.refined(mixer.sum(made, gate), gate)
-            out.append(np.add.reduceat(np.log10(np.abs(p - (1 - bits.astype(np.float32)))), starts, dtype=np.float64))
-        return np.concatenate(out) if out else np.empty(0)
+        look, total = (lambda t, slots: self.odds[t].take(slots)), np.zeros(len(source.order))
+        for column in source.columns():
+            total[column.rows] += mixer.costs(mixer.sum(self.inputs(source, column, look), column.gate), column.gate, column.bits)
+        out = np.empty(len(total))
+        out[source.order] = total
+        return out
 
     def spellings(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word's bytes."""
@@ -493,40 +530,45 @@ def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
     model = Model(code, {t: _odds(x[0::2].astype(float), x[1::2].astype(float)) for t, x in tables.items()})
     streams = [Stream(code, [t]) for t in texts]
     right, seen = np.ones(RUNS), np.full(RUNS, 2.0)
-    for s in streams:
-        for who, depth, _, bits, _ in s.chunks():
-            run, sign = s.expected(who, depth, bits)
-            seen += np.bincount(run, sign != 0, minlength=RUNS)
-            right += np.bincount(run, sign == 2 * bits.astype(np.int8) - 1, minlength=RUNS)
+    for column in chain.from_iterable(s.columns() for s in streams):
+        if column.run:
+            seen[column.run] += np.count_nonzero(column.sign)
+            right[column.run] += np.count_nonzero(column.sign == 2 * column.bits - 1)
     model.follow = np.log(right / (seen - right + 1e-9)).astype(np.float32)
-    model.follow[0] = 0
 
-    for kind in ("words", "bytes"):
-        rows = []
+    for kind, names in (("words", WORD_TABLES), ("bytes", BYTE_TABLES)):
+        mixer, inputs, gates, bits = model.mixers[kind], [], [], []
         for s in streams:
-            source = s
-            if kind == "bytes":
-                if not s.rare:
-                    continue
-                source = Spelling(s.rare, np.bincount(s.token[s.token > code.start] - code.start - 1))
-            *whole, _ = (np.concatenate(x) for x in zip(*source.chunks(), strict=True))
-            times = source.times[whole[0]] if kind == "bytes" else np.ones(len(whole[0]))
-            rows.append((*model.inputs(source, *whole, _without(tables, whole[3], times)), whole[3]))
-        if rows:
-            inputs = [np.concatenate(x) for x in zip(*(r[0] for r in rows), strict=True)]
-            model.mixers[kind].learn(inputs, np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows]).astype(np.float32))
+            source = s if kind == "words" else Spelling(s.rare, np.bincount(s.token[s.token > code.start] - code.start - 1)) if s.rare else None
+            if source is None:
+                continue
+            look = _without(tables, source, names)
+            for column in source.columns():
+                made = model.inputs(source, column, look)
+                inputs.append(made + [np.zeros(len(column.bits), np.float32)] * (len(mixer.weights) - len(made)))
+                gates.append(np.broadcast_to(column.gate, len(column.bits)))
+                bits.append(column.bits)
+        if bits:
+            # In the order of the documents' columns, dealt out anew so that each step sees all gates.
+            order = np.random.default_rng(3).permutation(sum(map(len, bits)))
+            mixer.learn([np.concatenate(x)[order] for x in zip(*inputs, strict=True)], np.concatenate(gates)[order], np.concatenate(bits)[order].astype(np.float32))
     return model
 
 
-def _without(tables: dict[str, np.ndarray], bits: np.ndarray, times: np.ndarray):
+def _without(tables: dict[str, np.ndarray], source, names):
     """A look-up of log-odds that leaves a document's own counts out."""
+    columns, own = list(source.columns()), {}
+    times = np.concatenate([source.times[c.rows] if isinstance(source, Spelling) else np.ones(len(c.bits)) for c in columns])
+    for t in names:
+        cells, inverse = np.unique(np.concatenate([source.slots(t, c) * 2 + c.bits for c in columns]), return_inverse=True)
+        own[t] = cells, np.bincount(inverse, times)
 
-    def look(table, slots):
-        used, inverse = np.unique(slots, return_inverse=True)
-        own = [np.bincount(inverse, (bits == b) * times, minlength=len(used)) for b in (0, 1)]
-        return _odds(*(np.maximum(tables[table][2 * used + b] - own[b], 0.0) for b in (0, 1)))[inverse]
+    def count(t, cell):
+        cells, n = own[t]
+        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
+        return np.maximum(tables[t][cell] - n[at] * (cells[at] == cell), 0.0)
 
-    return look
+    return lambda t, slots: _odds(count(t, slots * 2), count(t, slots * 2 + 1))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model]:
@@ -550,22 +592,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     code = model.code
     total, classes = code.total, code.distinct + 1
     log_total = float(np.log10(total + 0.1 * classes))
-    end_known = int(code.counts[-2] > 0)
+    end_known = bool(code.counts[-2] > 0)
 
     def start():
         model, memo = sent.value, {}
 
         def work(texts):
             stream = Stream(model.code, texts)
-            names = np.array(stream.rare, object)
-            head = stream.token <= model.code.start
-            base = np.where(head, model.code.log_counts[np.where(head, stream.token, 0)], 0.0)
-            known = np.where(head, np.where(stream.token == model.code.end, end_known, 1), 0)
-            rest, sizes = [], np.append(stream.first[1:], len(stream.token))
-            for a, b in zip(stream.first.tolist(), sizes.tolist(), strict=True):
-                some = stream.token[a:b][~head[a:b]]
-                found, n = np.unique(some, return_counts=True)
-                rest.append([{"word": names[i - model.code.start - 1].decode(), "n": int(c)} for i, c in zip(found.tolist(), n.tolist(), strict=True)])
+            rare = stream.token > model.code.start
+            head = np.where(rare, 0, stream.token)
+            base = model.code.log_counts[head] * ~rare
+            known = ~rare & ((head != model.code.end) | end_known)
+            doc = np.repeat(np.arange(len(texts)), stream.sizes)[rare]
+            pairs, times = np.unique(doc << 32 | (stream.token[rare] - model.code.start - 1), return_counts=True)
+            words = pa.array(stream.rare, pa.binary()).cast(pa.string()).take(pa.array(pairs & 0xFFFFFFFF, pa.int64()))
+            held = pa.StructArray.from_arrays([words, pa.array(times, pa.int64())], names=["word", "n"])
+            ends = np.concatenate([[0], np.cumsum(np.bincount(pairs >> 32, minlength=len(texts)))])
             scores = model.scores(stream, memo)
             bytes_ = np.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts])
             return {
@@ -574,7 +616,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 "head_base": pa.array(np.add.reduceat(base, stream.first), pa.float64()),
                 "score": pa.array(scores, pa.float64()),
                 "bits_per_byte": pa.array([-s / np.log10(2) / n if n else None for s, n in zip(scores.tolist(), bytes_.tolist(), strict=True)], pa.float64()),
-                "rest": pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+                "rest": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held),
             }
 
         return work
