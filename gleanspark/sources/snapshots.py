@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -40,6 +41,51 @@ def sitemap_of(pages: DataFrame, domain: str = "domain", order: str = "page_id")
     return pages.select(F.col(domain).alias("domain"), place.cast("long").alias("sm_pos"), "url")
 
 
+def declared_sitemaps(robots: DataFrame) -> DataFrame:
+    """(domain, pos, file_url): what robots files name as sitemaps, in order."""
+    named = F.regexp_extract_all("robots_txt", F.lit(r"(?im)^[ \t]*sitemap[ \t]*:[ \t]*(\S+)"), F.lit(1))
+    return robots.where("status = 200").select("domain", F.posexplode(named).alias("pos", "file_url"))
+
+
+def _read_sitemap(xml: str | None) -> tuple[bool, list[str]]:
+    """(whether it is an index of sitemaps, the urls it lists); broken files list nothing."""
+    from xml.etree import ElementTree
+
+    try:
+        root = ElementTree.fromstring(xml or "")
+    except (ElementTree.ParseError, ValueError):
+        return False, []
+    bare = lambda tag: tag.rpartition("}")[2] if isinstance(tag, str) else ""
+    urls = [(e.text or "").strip() for entry in root for e in entry if bare(e.tag) == "loc"]
+    return bare(root.tag) == "sitemapindex", [u for u in urls if u]
+
+
+def sitemap_from_files(robots: DataFrame, files: DataFrame, levels: int = 5) -> DataFrame:
+    """The sitemap relation from recorded sitemap files (file_url, xml): the declared ones and those that indexes lead to.
+
+    Files that were not recorded or are broken list nothing; indexes nest up to `levels` deep. Urls are
+    numbered in the order of the tree.
+    """
+    from pyspark.sql import Window
+
+    def parse(batches):
+        for batch in batches:
+            read = [_read_sitemap(x) for x in batch.column("xml").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("file_url"), pa.array([i for i, _ in read], pa.bool_()), pa.array([u for _, u in read], pa.list_(pa.string()))], names=["file_url", "is_index", "urls"])
+
+    parsed = files.select("file_url", "xml").mapInArrow(parse, "file_url string, is_index boolean, urls array<string>")
+    asked = declared_sitemaps(robots).select("domain", "file_url", F.array("pos").alias("rank"))
+    found = None
+    for _ in range(levels):
+        listed = asked.join(parsed, "file_url").select("domain", "rank", "is_index", F.posexplode("urls").alias("i", "url"))
+        listed = listed.select("domain", "is_index", "url", F.concat("rank", F.array("i")).alias("rank"))
+        pages = listed.where("not is_index").select("domain", "rank", "url")
+        found = pages if found is None else found.unionAll(pages)
+        asked = listed.where("is_index").select("domain", F.col("url").alias("file_url"), "rank")
+    place = F.row_number().over(Window.partitionBy("domain").orderBy("rank")) - 1
+    return found.select("domain", place.cast("long").alias("sm_pos"), "url")
+
+
 class _Domain(InputPartition):
     def __init__(self, domain: str, urls: list[str]):
         self.domain, self.urls = domain, urls

@@ -144,6 +144,30 @@ def test_live_pages(spark):
     assert sorted((r.url.rsplit("/", 1)[1], r.status, r.html) for r in rows_) == [("a", 200, "<p>hi</p>"), ("gone", 404, None), ("image", 200, None)]
 
 
+def test_sitemap_files(spark):
+    robots = spark.createDataFrame([("s.nl", 200, "User-agent: *\nSitemap: https://s.nl/i.xml\n sitemap:https://s.nl/b.xml\nSitemap: https://s.nl/none.xml"), ("x.nl", 404, "Sitemap: https://x.nl/a.xml")], model.ROBOTS)
+    page = lambda *urls: "<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>" + "".join(f"<url><loc> {u} </loc></url>" for u in urls) + "</urlset>"
+    given = [
+        ("https://s.nl/i.xml", "<sitemapindex><sitemap><loc>https://s.nl/c.xml</loc></sitemap><sitemap><loc>https://s.nl/bad.xml</loc></sitemap></sitemapindex>"),
+        ("https://s.nl/b.xml", page("https://s.nl/3")), ("https://s.nl/c.xml", page("https://s.nl/1", "https://s.nl/2/")), ("https://s.nl/bad.xml", "<urlset><url>"), ("https://x.nl/a.xml", page("https://x.nl/1")),
+    ]
+    files_ = spark.createDataFrame(given, "file_url string, xml string")
+    got = snapshots.sitemap_from_files(robots, files_).orderBy("sm_pos").collect()
+    assert [tuple(r) for r in got] == [("s.nl", 0, "https://s.nl/1"), ("s.nl", 1, "https://s.nl/2/"), ("s.nl", 2, "https://s.nl/3")]
+
+
+def test_command(spark, tmp_path):
+    from gleanspark.__main__ import main
+
+    for name, text in (("urls.txt", "s.nl\n"), ("keywords.txt", "job\n"), ("c.yaml", f"input:\n  input_dir: {tmp_path}\noutput:\n  output_dir: {tmp_path}/out\n")):
+        (tmp_path / name).write_text(text)
+    spark.createDataFrame(list(PAGES.items()), "url string, html string").write.parquet(str(tmp_path / "pages"))
+    folder = main([str(tmp_path / "c.yaml"), str(tmp_path / "pages")])
+    assert spark.read.parquet(folder).count() == 1
+    tried = logs.visits_by_url(logs.sessions(files.read_logs(spark, str(tmp_path / "out")))).collect()
+    assert [(r.base_url, r.tried) for r in tried] == [("s.nl", True)]
+
+
 @pytest.mark.parametrize("path", ["sf0.001"])
 def test_queries_equal_their_sql(spark, path):
     import duckdb
