@@ -180,7 +180,8 @@ def label_components(made: DataFrame, id_col: str) -> DataFrame:
     named = least.join(named, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("first")).alias("component_id")
     )
-    return made.join(named, "fp")
+    # Written out, so that both sides of the join are plain shuffles, of which a hot fingerprint's part can be split.
+    return made.join(named.checkpoint(), "fp")
 
 
 def hex_of(fp: str) -> Column:
