@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from gleanspark.llm.arrowmap import map_texts
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?>[^>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
+    r"<!--(?:.*?-->|.*)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?>=\s*\"[^\"]{0,2000}\"|=\s*'[^']{0,2000}'|[^>])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
 )
 _RAW = "script style noscript template svg math iframe object canvas textarea".split()
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}
@@ -156,23 +156,25 @@ def weights(labelled: tuple[str, ...] = tuple(LABELLED)) -> dict[str, float]:
     return {k: max(-LEAST_TAG, min(w, -0.1)) if k[0] == "<" else w for k, w in made.items()} | {"<": -0.5}
 
 
+def best_run(row: list[tuple[str, str | None]], learned: dict[str, float]) -> tuple[int, int]:
+    """The run [first, last) of tokens with the greatest total above zero; (0, 0) if there is none."""
+    unknown, run, start = learned["<"], 0.0, 0
+    best, first, last = 0.0, 0, 0
+    for i, (what, text) in enumerate(row):
+        run += learned.get(f"<{what}", unknown) if text is None else len(text.split()) * learned[what]
+        if run > best:
+            best, first, last = run, start, i + 1
+        elif run <= 0:
+            run, start = 0.0, i + 1
+    return first, last
+
+
 def main_text(page: str | None, learned: dict[str, float] | None = None) -> str:
     """The main text of a page; "" if it has none."""
     if not page:
         return ""
-    learned = learned or weights()
-    unknown, row, run, start = learned["<"], [], 0.0, 0
-    best, first, last = 0.0, 0, 0
-    for what, text in tokens(page):
-        if text is None:
-            run += learned.get(f"<{what}", unknown)
-        elif size := len(text.split()):
-            run += size * learned[what]
-        row.append((what, text))
-        if run > best:
-            best, first, last = run, start, len(row)
-        elif run <= 0:
-            run, start = 0.0, len(row)
+    row = list(tokens(page))
+    first, last = best_run(row, learned or weights())
     blocks, block = [], []
     for what, text in row[first:last]:
         if text is not None:
