@@ -11,7 +11,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gleanspark import model
 
-CONSTANT_PAGE = "<html><body><h1>Hello</h1></body></html>"
+# Fixed value: the page that stands in for any other.
+CONSTANT_PAGE = "\n<!doctype html>\n<html>\n<body>Hello</body>\n</html>"
 
 
 def pages_of(rows: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ class _LiveReader(DataSourceReader):
         import urllib.request
 
         get = self.options.get
-        headers = {"User-Agent": get("useragent", "gleanspark/0.1"), "Accept": "text/html,application/xhtml+xml", "Accept-Language": "*", "Accept-Encoding": "identity"}
+        headers = {"User-Agent": get("useragent", "gleanspark/0.1"), "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en;q=0.9,*;q=0.5", "Accept-Encoding": "identity"}
         timeout = float(get("timeout_connect", "3")) + float(get("timeout_read", "7"))
         for i, url in enumerate(partition.urls):
             if i:
