@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -14,6 +16,13 @@ from pyspark.sql import DataFrame
 SLICE_CHARS = 4_000_000
 
 
+def trim() -> None:
+    """Gives memory that is free inside this worker back to the machine; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that each piece has about `limit` bytes of `column`, one row at least."""
     if batch.num_rows == 0:
@@ -48,6 +57,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [*columns, *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made]
                 )
+        del work
+        trim()
 
     return df.select(*names).mapInArrow(run, schema)
 
@@ -60,6 +71,8 @@ def filter_rows(df: DataFrame, text: str, start: Callable[[], Callable[[list], l
         for batch in batches:
             for part in slices(batch, text):
                 yield part.filter(pa.array(accepts(part.column(text).to_pylist()), pa.bool_()))
+        del accepts
+        trim()
 
     return df.mapInArrow(run, df.schema)
 

@@ -30,7 +30,8 @@ from gleanspark.llm.arrowmap import filter_rows, map_texts
 SAMPLE_ROWS, TERMS, FACTORS, EPOCHS = 12_000, 4096, 4, 100
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
+_NOTHING: tuple[list, list] = ([], [])
 _WORD = re.compile(r"[^\W\d_]+")
 _BITS = 22
 MULTIPLES = 3
@@ -171,7 +172,8 @@ def scorer(model: Machine) -> Callable[[list], np.ndarray]:
     def about(word: str) -> tuple[list, list]:
         """The word's own terms, and its beginnings of which any multiple is kept."""
         beginnings = [b for b in _beginnings(word) if kept(f"{i} {b}" for i in range(1, MULTIPLES + 1))]
-        found = memo[word] = kept([f"w {word}"]), beginnings
+        own = kept([f"w {word}"])
+        found = memo[word] = (own, beginnings) if own or beginnings else _NOTHING
         return found
 
     def score(texts: list) -> np.ndarray:
