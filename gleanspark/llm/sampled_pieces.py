@@ -23,7 +23,9 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import chain
 
@@ -31,13 +33,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gleanspark.llm.arrowmap import slices
+from gleanspark.llm.arrowmap import slices, trim
 
 DRAWS = 2
 SPACE = "▁"
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
+#: Words of the first slice that stay at most, and words whose edges are sought at a time.
+KEPT_WORDS, STEP_WORDS = 100_000, 30_000
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+SLOT_BITS = 17
 
 
 def _uniform(keys: np.ndarray) -> np.ndarray:
@@ -48,6 +53,18 @@ def _uniform(keys: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
+def _slots_of(hashes: np.ndarray) -> list[np.ndarray]:
+    """Tables from a hash's upper bits to its place; what finds its slot taken goes to the next table."""
+    tables, rest = [], np.arange(len(hashes))
+    slots = (hashes * _STEP >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    while len(rest):
+        table = np.full(1 << SLOT_BITS, -1, np.int32)
+        table[slots[rest]] = rest
+        tables.append(table)
+        rest = rest[table[slots[rest]] != rest]
+    return tables
+
+
 class Pieces:
     """The vocabulary of a model file: strings, weights and bytes."""
 
@@ -74,14 +91,11 @@ class Pieces:
         self.by_length = {}
         for length in sorted({len(p) for p in text.values()}):
             ids = np.array([i for i in normal if len(text[i]) == length])
-            chars = np.array([list(map(ord, text[i])) for i in ids.tolist()], np.uint32, order="F")
+            chars = np.asfortranarray([list(map(ord, text[i])) for i in ids.tolist()], np.uint32)
             hashes = np.zeros(len(ids), np.uint64)
             for j in range(length):
                 hashes = hashes * _STEP + chars[:, j] + np.uint64(1)
-            order = np.argsort(hashes)
-            bits = np.zeros(1 << 18, bool)
-            bits[hashes >> np.uint64(46)] = True
-            self.by_length[length] = hashes[order], ids[order], np.asfortranarray(chars[order]), bits
+            self.by_length[length] = hashes, ids, chars, _slots_of(hashes)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that pieces stand for, the leading space included."""
@@ -115,22 +129,28 @@ class Lattice:
             hashes = hashes * _STEP + chars[held + (size - 1)] + np.uint64(1)
             if size not in pieces.by_length:
                 continue
-            known, ids, text, bits = pieces.by_length[size]
-            maybe = np.flatnonzero(bits.take((hashes >> np.uint64(46)).astype(np.int64)))
-            found = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
-            same = known.take(found) == hashes[maybe]
-            maybe, found = held[maybe[same]], found[same]
+            known, ids, text, tables = pieces.by_length[size]
+            slots = (hashes * _STEP >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            maybe, found = [], []
+            for table in tables:
+                place = table.take(slots, mode="clip")
+                here = np.flatnonzero(place >= 0)
+                place = place.take(here, mode="clip")
+                same = known.take(place, mode="clip") == hashes.take(here, mode="clip")
+                maybe.append(held.take(here[same], mode="clip"))
+                found.append(place[same])
+            maybe, found = np.concatenate(maybe), np.concatenate(found)
             same = np.ones(len(maybe), bool)
             for j in range(size):
-                same &= chars.take(maybe + j) == text[:, j].take(found)
+                same &= chars.take(maybe + j, mode="clip") == text[:, j].take(found, mode="clip")
             if not same.all():
                 maybe, found = maybe[same], found[same]
             if size == 1:
                 lone = np.ones(n, bool)
                 lone[maybe] = False
-            keys.append(rank.take(maybe) - size)
-            piece.append(ids.take(found))
-            logs.append(pieces.logs.take(piece[-1]))
+            keys.append(rank.take(maybe, mode="clip") - size)
+            piece.append(ids.take(found, mode="clip"))
+            logs.append(pieces.logs.take(piece[-1], mode="clip"))
         # What is no piece becomes bytes.
         lone = np.flatnonzero(lone)
         code = chars[lone]
@@ -139,7 +159,7 @@ class Lattice:
         keys, piece = np.concatenate([*keys, rank[lone] - 1]), np.concatenate([*piece, np.full(len(lone), -1)])
         logs = np.concatenate([*logs, self.bytes_of[lone] * (2 * pieces.logs.min())])
         order = np.argsort(keys)
-        keys, self.piece, logs = keys.take(order), piece.astype(np.int32).take(order), logs.take(order)
+        keys, self.piece, logs = keys.take(order, mode="clip"), piece.astype(np.int32).take(order, mode="clip"), logs.take(order, mode="clip")
         length = 31 - (keys & 31)
         at = (keys >> 5) % n
         del keys, order, piece, rank, hashes, held
@@ -155,40 +175,59 @@ class Lattice:
         follows = np.where(length < levels, at + length, n)  # beta[n] stays 0 for a word's end
         marks = np.searchsorted(begins, [*cuts.tolist(), len(at)])
         for i, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)], strict=True)):
-            total = logs[a:b] + beta.take(follows[a:b])
+            total = logs[a:b] + beta.take(follows[a:b], mode="clip")
             own = begins[marks[i] : marks[i + 1]]
             weight = np.logaddexp.reduceat(total, own - a)
-            beta[at.take(own)] = weight
+            beta[at.take(own, mode="clip")] = weight
             share[a:b] = total - np.repeat(weight, np.diff(own, append=b))
         del levels, follows, logs
         self.length, self.log = length.astype(np.int8), np.minimum(share, 0.0, out=share)
         p = np.exp(self.log)
         total = np.cumsum(p)
-        total -= np.repeat(total.take(begins) - p.take(begins), np.diff(begins, append=len(at)))
+        total -= np.repeat(total.take(begins, mode="clip") - p.take(begins, mode="clip"), np.diff(begins, append=len(at)))
         self.below = total.astype(np.float32)
         self.below[np.append(begins[1:], len(at)) - 1] = 1.0
-        single = self.out.take(at) == 1
+        single = self.out.take(at, mode="clip") == 1
         self.log[single] = 0.0
         with np.errstate(divide="ignore"):
             self.log_other = np.log(-np.expm1(np.minimum(self.log, -1e-15))).astype(np.float32)
         self.log_other[single] = -np.inf
         self.chars, self.left = chars, np.append(left, 0)
 
+    @staticmethod
+    def of(words: list[str], pieces: Pieces) -> list[Lattice]:
+        """Lattices of STEP_WORDS words each, which bounds the memory of the search for edges."""
+        return [Lattice(words[at : at + STEP_WORDS], pieces) for at in range(0, len(words), STEP_WORDS)]
+
+    @staticmethod
+    def joined(parts: list[Lattice]) -> Lattice:
+        """Several lattices as one, their words in this order."""
+        if len(parts) == 1:
+            return parts[0]
+        made = object.__new__(Lattice)
+        places = np.cumsum([0, *(len(p.chars) for p in parts[:-1])]).tolist()
+        edges = np.cumsum([0, *(len(p.log) for p in parts[:-1])]).tolist()
+        for name in ("piece", "length", "below", "log", "log_other", "bytes_of", "chars"):
+            setattr(made, name, np.concatenate([getattr(p, name) for p in parts]))
+        for name, shifts, end in (("starts", places, None), ("ends", places, None), ("first", edges, -1), ("out", [0] * len(parts), -1), ("left", [0] * len(parts), -1)):
+            setattr(made, name, np.concatenate([getattr(p, name)[:end] + s for p, s in zip(parts, shifts, strict=True)] + ([[0]] if end else [])))
+        return made
+
     def walk(self, states: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Draws the rest of each word from its state on: (edges, their states, edges of each word)."""
         live, now, steps = np.arange(len(states)), states, []
         counts = np.zeros(len(states), np.int64)
         keys = keys.copy()
         while len(live):
-            edge, u = self.first[now], _uniform(keys)
-            turn = np.flatnonzero(u >= self.below[edge])
+            edge, u = self.first.take(now, mode="clip"), _uniform(keys)
+            turn = np.flatnonzero(u >= self.below.take(edge, mode="clip"))
             while len(turn):
                 edge[turn] += 1
                 turn = turn[u[turn] >= self.below[edge[turn]]]
             steps.append((live, edge, now))
             counts[live] += 1
-            size = self.length[edge]
-            more = self.left[now] > size
+            size = self.length.take(edge, mode="clip")
+            more = self.left.take(now, mode="clip") > size
             live, now, keys = live[more], (now + size)[more], (keys + np.uint64(1))[more]
         at = np.cumsum(counts) - counts
         edges, places = np.empty(int(counts.sum()), np.int64), np.empty(int(counts.sum()), np.int64)
@@ -199,7 +238,7 @@ class Lattice:
 
     def ids(self, edges: np.ndarray, states: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
         """(token ids, tokens of each edge)."""
-        piece = self.piece[edges]
+        piece = self.piece.take(edges, mode="clip")
         spelled = np.flatnonzero(piece < 0)
         width = np.ones(len(edges), np.int64)
         width[spelled] = self.bytes_of[states[spelled]]
@@ -228,6 +267,12 @@ class _Numbers(dict):
         return number
 
 
+def _below(value: float, mass: float, u: float) -> float:
+    """A Gumbel value of a set with this log mass, given that it is below `value`."""
+    a, b = -value, math.log(-math.log(u)) - mass
+    return -(max(a, b) + math.log1p(math.exp(-abs(a - b))))
+
+
 class _Path:
     """One draw of every text of a slice: edges, their states and words, and the queue of sets left behind."""
 
@@ -239,11 +284,16 @@ class _Path:
 class Sampler:
     def __init__(self, model_file: str, draws: int = DRAWS):
         self.pieces, self.draws = pieces_of(model_file), draws
+        #: Words that the first slice has more than once, and their lattice, which later slices share.
+        self.known, self.kept = _Numbers(), None
 
     def __call__(self, keys: list, texts: list[str | None]):
         """Yields (row, draw, ids, log_prob, value, log_inclusion) for the texts, in no set order."""
-        index = _Numbers()
         split = [_WORDS.findall(f"{SPACE}{t}".replace(" ", SPACE)) if t else [] for t in texts]
+        if self.kept is None:
+            common = [w for w, n in Counter(chain.from_iterable(split)).most_common(KEPT_WORDS) if n > 1]
+            self.known, self.kept = _Numbers(zip(common, range(len(common)), strict=True)), Lattice.of(common, self.pieces)
+        index = _Numbers(self.known)
         sizes = np.array(list(map(len, split)), np.int64)
         number = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         full = np.flatnonzero(sizes)
@@ -252,7 +302,9 @@ class Sampler:
             yield row, 1, np.empty(0, np.int64), 0.0, -np.log(-np.log(_uniform(seeds[row : row + 1])))[0], 0.0
         if not len(full):
             return
-        lattice = Lattice(list(index), self.pieces)
+        lattice = Lattice.joined([*self.kept, *Lattice.of(list(index)[len(self.known) :], self.pieces)])
+        if len(self.kept) > 1:
+            self.kept = [Lattice.joined(self.kept)]
         ends = np.cumsum(sizes)
         yield from _Search(lattice, self.pieces, lattice.starts[number], (ends - sizes)[full], ends[full], seeds[full], self.draws).run(full)
 
@@ -300,15 +352,15 @@ class _Search:
     def _emit(self, path, rows, values, draw):
         ids, width = self.lattice.ids(path.edges, path.states, self.pieces)
         at = np.concatenate([[0], np.cumsum(width)])[path.at]
-        logs = np.add.reduceat(self.lattice.log[path.edges], path.at[:-1])
+        logs = np.add.reduceat(self.lattice.log.take(path.edges, mode="clip"), path.at[:-1])
         return rows, ids.astype(np.int32), at, logs, values
 
     def _cut(self, path, rows, values, free, draw) -> None:
         """Values for the sets that leave a path at each edge from `free` on."""
         sizes = np.diff(path.at)
-        log = self.lattice.log[path.edges]
+        log = self.lattice.log.take(path.edges, mode="clip")
         run = np.cumsum(log) - log
-        mass = run - np.repeat(run[path.at[:-1]], sizes) + self.lattice.log_other[path.edges]
+        mass = run - np.repeat(run[path.at[:-1]], sizes) + self.lattice.log_other.take(path.edges, mode="clip")
         place = np.arange(len(log)) - np.repeat(path.at[:-1], sizes)
         mass[place < np.repeat(free, sizes)] = -np.inf
         u = _uniform(self._keys(np.repeat(rows, sizes), 1000 + draw, place))
@@ -347,6 +399,18 @@ class _Search:
         path.top[i] = own.max()
         return value, q, place, [int(path.edges[path.at[i] + place])]
 
+    @staticmethod
+    def _picked(out: list[tuple[int, float]], u: float) -> tuple[int, float]:
+        """(one of weighted edges, drawn by u; what the others weigh)."""
+        left = u * sum(w for _, w in out)
+        edge = out[-1][0]
+        for e, w in out:
+            left -= w
+            if left < 0:
+                edge = e
+                break
+        return edge, sum(w for e, w in out if e != edge)
+
     def _branch(self, chosen, draw):
         """Draws a segmentation from each chosen set."""
         lattice, heads, spans = self.lattice, [], []
@@ -358,13 +422,12 @@ class _Search:
             at = int(path.at[path.row[row]])
             state, word = int(path.states[at + place]), int(path.words[at + place])
             start = int(lattice.first[state])
-            out = [e for e in range(start, start + int(lattice.out[state])) if e not in taken]
-            p = np.cumsum(np.exp(lattice.log[out]))
-            edge = out[min(int(np.searchsorted(p, x * p[-1], "right")), len(out) - 1)]
-            rest = [e for e in out if e != edge]
-            if rest:
-                mass = float(path.log_before[at + place] + np.logaddexp.reduce(lattice.log[rest]))
-                self.again[row].append((float(-np.logaddexp(-value, np.log(-np.log(y)) - mass)), len(self.paths), place, [*taken, edge]))
+            logs = lattice.log[start : start + int(lattice.out[state])].tolist()
+            out = [(start + i, math.exp(log)) for i, log in enumerate(logs) if start + i not in taken]
+            edge, others = self._picked(out, x)
+            if others > 0:
+                mass = float(path.log_before[at + place]) + math.log(others)
+                self.again[row].append((_below(value, mass, y), len(self.paths), place, [*taken, edge]))
             after = state + int(lattice.length[edge])
             heads.append((path, at, place, edge, state, word))
             spans.append((word, after) if lattice.left[state] > lattice.length[edge] else (word + 1, -1))
@@ -416,5 +479,7 @@ def sample_pieces(
                 rows, *columns = zip(*out, strict=True)
                 kinds = (pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.string() if digest else pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(id_col).take(pa.array(rows)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
+        del sampler
+        trim()
 
     return docs.select(*dict.fromkeys([id_col, text_col])).mapInArrow(run, schema)
