@@ -13,7 +13,7 @@ What is learned covers every training document (crc32 of the id not 0 modulo 10)
 hashed context how often a bit was 0 and 1. Partitions add up tables of fixed size and send them in compressed
 segments, which are summed by segment. Only the weights, the gate's table and the trust in the in-document
 predictor, some hundred numbers, are fitted to a bounded sample of training documents (LEARN_ROWS, none over
-LEARN_CHARS), in one online pass in which each document's own counts are left out.
+LEARN_CHARS), in one online pass in which the documents' own counts are left out.
 
 The base score needs every word's exact count: those of the HEAD words go to all tasks, a bounded table; the
 rare rest is joined by word.
@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.arrowmap import map_texts, slices
+from gleanspark.llm.arrowmap import map_texts, slices, trim
 from gleanspark.llm.components import with_checkpoints
 
 FOLDS, HELD_OUT = 10, 0
@@ -46,11 +46,17 @@ TABLE_BITS = 20
 WORD_TABLES, BYTE_TABLES = ("before", "endings"), ("bytes2", "bytes3", "bytes5")
 TABLES = (*WORD_TABLES, *BYTE_TABLES)
 SEGMENT = 1 << 14
-LEARN_ROWS, LEARN_CHARS = 400, 20_000
+LEARN_ROWS, LEARN_CHARS, LEARN_TOGETHER = 256, 20_000, 8
 CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 3_000_000
+HASHED_DEPTHS = 12
+#: An input that is not asked for.
+NOTHING = np.zeros(0, np.float32)
+_ONE = np.uint32(1)
+#: Log-odds are kept as whole numbers of this fraction, so that tables stay near the processor.
+ODDS_STEP = np.float32(1 / 12)
 DEPTHS, RUNS, BUCKETS, LIMIT, FINE = 16, 5, 33, 16, 16
 _MIX = np.uint32(0x9E3779B1)
 
@@ -165,6 +171,8 @@ class Column(NamedTuple):
     #: 1 or -1 for the bit that the follower expects, 0 for none; None if none expects any.
     sign: np.ndarray | None
     run: int
+    #: Beyond the depth at which hashed contexts are asked: what is left is a choice among rare words.
+    deep: bool = False
 
 
 class _Numbers(dict):
@@ -225,10 +233,14 @@ class Stream:
         """What followed the last time that the two tokens before stood in this document, and for how long that has been right."""
         n = len(self.token)
         key = (one.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (two.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (doc.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        order = np.argsort(key, kind="stable")
-        same = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+        # Places sorted by key and then by place, as the low bits of one number; what meets by chance is told apart below.
+        bits = np.uint64(max(1, n - 1).bit_length())
+        mixed = (key ^ (key >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F)
+        order = (np.sort(mixed >> bits << bits | np.arange(n, dtype=np.uint64)) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        a, b = order[:-1], order[1:]
+        same = (key[a] == key[b]) & (one[a] == one[b]) & (two[a] == two[b]) & (doc[a] == doc[b])
         last = np.full(n, -1)
-        last[order[1:]] = np.where(same[1:], order[:-1], -1)
+        last[b[same]] = a[same]
         guess = np.where(last >= 0, self.token[np.maximum(last, 0)], -1)
         right = guess == self.token
         wrong_at = np.maximum.accumulate(np.where(right, -1, np.arange(n)))
@@ -251,13 +263,13 @@ class Stream:
                 left = np.searchsorted(-length, -np.arange(int(length[0])), "left")
                 for depth, n in enumerate(left.tolist()):
                     rows = slice(lo, lo + n)
-                    step = self.code.steps.take(self.at[rows] + depth)
+                    step = self.code.steps.take(self.at[rows] + depth, mode="clip")
                     bits, gate, sign = step & 1, min(depth, DEPTHS - 1), None
                     if run:
                         shared = self.shared[rows]
                         sign = ((depth < shared).view(np.int8) - (depth == shared).view(np.int8)) * (2 * bits - 1)
                         gate = gate + (sign != 0) * np.int64(run * DEPTHS)
-                    yield Column(rows, step >> 1, bits, gate, sign, run)
+                    yield Column(rows, step >> 1, bits, gate, sign, run, depth >= HASHED_DEPTHS)
 
     def slots(self, table: str, column: Column) -> np.ndarray:
         return _slots(self.contexts[table][column.rows], column.node)
@@ -350,30 +362,17 @@ class _Counts:
     """Tables of how often bits were 0 and 1 in each hashed context."""
 
     def __init__(self, names):
-        self.tables = {t: np.zeros(2 << TABLE_BITS, np.float64) for t in names}
+        self.tables = {t: np.zeros(2 << TABLE_BITS, np.uint32 if t in WORD_TABLES else np.float64) for t in names}
         self.empty = True
 
     def add(self, source) -> None:
         self.empty = False
-        held, weights, size = {t: [] for t in self.tables}, [], 0
         for column in source.columns():
-            for t, parts in held.items():
-                parts.append(source.slots(t, column) * 2 + column.bits)
-            if isinstance(source, Spelling):
-                weights.append(source.times[column.rows])
-            size += len(column.bits)
-            if size > 1 << 22:
-                self._flush(held, weights)
-                size = 0
-        self._flush(held, weights)
-
-    def _flush(self, held, weights) -> None:
-        w = np.concatenate(weights) if weights else None
-        weights.clear()
-        for t, parts in held.items():
-            if parts:
-                self.tables[t] += np.bincount(np.concatenate(parts), w, minlength=2 << TABLE_BITS)
-                parts.clear()
+            if column.deep:
+                continue
+            times = source.times[column.rows] if isinstance(source, Spelling) else _ONE
+            for t, table in self.tables.items():
+                np.add.at(table, source.slots(t, column) * 2 + column.bits, times)
 
     def out(self):
         if not self.empty:
@@ -389,6 +388,8 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
             for part in slices(batch, text_col, SLICE_BYTES):
                 counted.add(Stream(code.value, part.column(text_col).to_pylist(), follow=False))
         yield from counted.out()
+        del counted
+        trim()
 
     def of_words(batches):
         counted, known = _Counts(BYTE_TABLES), code.value.number
@@ -408,7 +409,9 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
         yield from _packed(sums)
 
     schema = "t string, segment int, data binary"
-    made = docs.select(text_col).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").mapInArrow(of_words, schema))
+    # Every task sends a table, so a few words each would not pay.
+    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    made = docs.select(text_col).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").coalesce(tasks).mapInArrow(of_words, schema))
     summed = made.repartition("t", "segment").mapInArrow(total, schema).toArrow()
     tables = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}
     for t, i, data in zip(*(summed.column(c) for c in ("t", "segment", "data")), strict=True):
@@ -431,6 +434,10 @@ def _odds(zero, one) -> np.ndarray:
     return np.log((one + 0.3) / (zero + 0.3)).astype(np.float32)
 
 
+def _kept(odds: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(odds / ODDS_STEP), -127, 127).astype(np.int8)
+
+
 class Mixer:
     """Weights by gate over the inputs, a bias by gate, and the table that refines their sum."""
 
@@ -442,15 +449,16 @@ class Mixer:
         self.logs = self._logs()
 
     def sum(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
-        x = np.zeros(len(inputs[0]), np.float32) + self.bias.take(gate)
+        x = np.zeros(len(inputs[0]), np.float32) + self.bias.take(gate, mode="clip")
         for i, value in enumerate(inputs):
-            x += self.weights[i].take(gate) * value
+            if value is not NOTHING:
+                x += self.weights[i].take(gate, mode="clip") * value
         return np.clip(x, -LIMIT, LIMIT, out=x)
 
     def costs(self, x, gate, bits) -> np.ndarray:
         """log10 probability of each bit, looked up by gate and by the sum to the nearest FINE-th."""
         at = ((x + np.float32(LIMIT)) * np.float32(FINE) + np.float32(0.5)).astype(np.int64)
-        return self.logs.take((gate * (2 * LIMIT * FINE + 1) + at) * 2 + bits)
+        return self.logs.take((gate * (2 * LIMIT * FINE + 1) + at) * 2 + bits, mode="clip")
 
     def _logs(self) -> np.ndarray:
         """For each gate, sum and bit: log10 of the mean of the mixed probability and the learned table's."""
@@ -492,13 +500,14 @@ class Model:
         """The predictors' log-odds; `look(table, slots)` gives those of hashed contexts."""
         if isinstance(source, Spelling):
             return [look(t, source.slots(t, column)) for t in BYTE_TABLES]
-        made = [self.code.plain.take(column.node), *(look(t, source.slots(t, column)) for t in WORD_TABLES)]
+        hashed = [NOTHING] * len(WORD_TABLES) if column.deep else [look(t, source.slots(t, column)) for t in WORD_TABLES]
+        made = [self.code.plain.take(column.node, mode="clip"), *hashed]
         return made if column.sign is None else [*made, self.follow[column.run] * column.sign]
 
     def costs(self, source) -> np.ndarray:
         """log10 probability of each token's path, or of each byte."""
         mixer = self.mixers["words" if isinstance(source, Stream) else "bytes"]
-        look, total = (lambda t, slots: self.odds[t].take(slots)), np.zeros(len(source.order))
+        look, total = (lambda t, slots: self.odds[t].take(slots, mode="clip") * ODDS_STEP), np.zeros(len(source.order))
         for column in source.columns():
             total[column.rows] += mixer.costs(mixer.sum(self.inputs(source, column, look), column.gate), column.gate, column.bits)
         out = np.empty(len(total))
@@ -526,9 +535,9 @@ class Model:
 
 
 def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
-    """Learns the mixers online from training texts, each without its own counts."""
-    model = Model(code, {t: _odds(x[0::2].astype(float), x[1::2].astype(float)) for t, x in tables.items()})
-    streams = [Stream(code, [t]) for t in texts]
+    """Learns the mixers online from training texts, LEARN_TOGETHER at a time and each time without their own counts."""
+    model = Model(code, {t: _kept(_odds(x[0::2].astype(float), x[1::2].astype(float))) for t, x in tables.items()})
+    streams = [Stream(code, texts[i : i + LEARN_TOGETHER]) for i in range(0, len(texts), LEARN_TOGETHER)]
     right, seen = np.ones(RUNS), np.full(RUNS, 2.0)
     for column in chain.from_iterable(s.columns() for s in streams):
         if column.run:
@@ -545,7 +554,8 @@ def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
             look = _without(tables, source, names)
             for column in source.columns():
                 made = model.inputs(source, column, look)
-                inputs.append(made + [np.zeros(len(column.bits), np.float32)] * (len(mixer.weights) - len(made)))
+                zeros = np.zeros(len(column.bits), np.float32)
+                inputs.append([zeros if x is NOTHING else x for x in made] + [zeros] * (len(mixer.weights) - len(made)))
                 gates.append(np.broadcast_to(column.gate, len(column.bits)))
                 bits.append(column.bits)
         if bits:
@@ -556,8 +566,8 @@ def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
 
 
 def _without(tables: dict[str, np.ndarray], source, names):
-    """A look-up of log-odds that leaves a document's own counts out."""
-    columns, own = list(source.columns()), {}
+    """A look-up of log-odds that leaves a source's own counts out."""
+    columns, own = [c for c in source.columns() if not c.deep], {}
     times = np.concatenate([source.times[c.rows] if isinstance(source, Spelling) else np.ones(len(c.bits)) for c in columns])
     for t in names:
         cells, inverse = np.unique(np.concatenate([source.slots(t, c) * 2 + c.bits for c in columns]), return_inverse=True)
