@@ -2,8 +2,8 @@
 
 Tokens are words with A-Z lower-cased, then one end. A word among the HEAD most frequent training words, met twice or more, is
 a path of bits in a Huffman code; any other is the path of an escape and then its bytes, bit by bit. Each bit
-is predicted in several contexts: the code's node alone; hashed with the word before, and with the endings of
-the two words before; for bytes, hashed with the two, three or five bytes before in the word. A further
+is predicted in several contexts, whatever its depth: the code's node alone; hashed with the word before, with both
+words before, with the endings of both; for bytes, hashed with the two, three or five bytes before in the word. A further
 predictor follows the last place in the same document where the two words before stood, and so adapts as the
 document is read. Predictions are log-odds, added with weights that a gate picks by depth and by how long that
 last predictor has been right; a final table by gate and prediction refines the result. Every step depends on
@@ -43,7 +43,7 @@ from gleanspark.llm.components import with_checkpoints
 FOLDS, HELD_OUT = 10, 0
 HEAD = 1 << 17
 TABLE_BITS = 20
-WORD_TABLES, BYTE_TABLES = ("before", "endings"), ("bytes2", "bytes3", "bytes5")
+WORD_TABLES, BYTE_TABLES = ("before", "two", "endings"), ("bytes2", "bytes3", "bytes5")
 TABLES = (*WORD_TABLES, *BYTE_TABLES)
 SEGMENT = 1 << 14
 LEARN_ROWS, LEARN_CHARS, LEARN_TOGETHER = 256, 20_000, 8
@@ -51,9 +51,6 @@ CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 3_000_000
-HASHED_DEPTHS = 12
-#: An input that is not asked for.
-NOTHING = np.zeros(0, np.float32)
 _ONE = np.uint32(1)
 #: Log-odds are kept as whole numbers of this fraction, so that tables stay near the processor.
 ODDS_STEP = np.float32(1 / 12)
@@ -171,8 +168,6 @@ class Column(NamedTuple):
     #: 1 or -1 for the bit that the follower expects, 0 for none; None if none expects any.
     sign: np.ndarray | None
     run: int
-    #: Beyond the depth at which hashed contexts are asked: what is left is a choice among rare words.
-    deep: bool = False
 
 
 class _Numbers(dict):
@@ -216,6 +211,7 @@ class Stream:
         endings = np.concatenate([code.ending, rare_endings])
         contexts = {
             "before": (names[one] + np.uint32(1)) * np.uint32(0xC2B2AE35),
+            "two": ((names[one] + np.uint32(2)) * np.uint32(0x27D4EB2F)) ^ ((names[two] + np.uint32(3)) * np.uint32(0x165667B1)),
             "endings": ((endings[one] + np.uint32(5)) * np.uint32(0xB5297A4D)) ^ ((endings[two] + np.uint32(7)) * np.uint32(0x68E31DA4)),
         }
         self.run, self.shared = np.zeros(n, np.int16), None
@@ -269,7 +265,7 @@ class Stream:
                         shared = self.shared[rows]
                         sign = ((depth < shared).view(np.int8) - (depth == shared).view(np.int8)) * (2 * bits - 1)
                         gate = gate + (sign != 0) * np.int64(run * DEPTHS)
-                    yield Column(rows, step >> 1, bits, gate, sign, run, depth >= HASHED_DEPTHS)
+                    yield Column(rows, step >> 1, bits, gate, sign, run)
 
     def slots(self, table: str, column: Column) -> np.ndarray:
         return _slots(self.contexts[table][column.rows], column.node)
@@ -368,8 +364,6 @@ class _Counts:
     def add(self, source) -> None:
         self.empty = False
         for column in source.columns():
-            if column.deep:
-                continue
             times = source.times[column.rows] if isinstance(source, Spelling) else _ONE
             for t, table in self.tables.items():
                 np.add.at(table, source.slots(t, column) * 2 + column.bits, times)
@@ -451,8 +445,7 @@ class Mixer:
     def sum(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
         x = np.zeros(len(inputs[0]), np.float32) + self.bias.take(gate, mode="clip")
         for i, value in enumerate(inputs):
-            if value is not NOTHING:
-                x += self.weights[i].take(gate, mode="clip") * value
+            x += self.weights[i].take(gate, mode="clip") * value
         return np.clip(x, -LIMIT, LIMIT, out=x)
 
     def costs(self, x, gate, bits) -> np.ndarray:
@@ -500,8 +493,7 @@ class Model:
         """The predictors' log-odds; `look(table, slots)` gives those of hashed contexts."""
         if isinstance(source, Spelling):
             return [look(t, source.slots(t, column)) for t in BYTE_TABLES]
-        hashed = [NOTHING] * len(WORD_TABLES) if column.deep else [look(t, source.slots(t, column)) for t in WORD_TABLES]
-        made = [self.code.plain.take(column.node, mode="clip"), *hashed]
+        made = [self.code.plain.take(column.node, mode="clip"), *(look(t, source.slots(t, column)) for t in WORD_TABLES)]
         return made if column.sign is None else [*made, self.follow[column.run] * column.sign]
 
     def costs(self, source) -> np.ndarray:
@@ -555,7 +547,7 @@ def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
             for column in source.columns():
                 made = model.inputs(source, column, look)
                 zeros = np.zeros(len(column.bits), np.float32)
-                inputs.append([zeros if x is NOTHING else x for x in made] + [zeros] * (len(mixer.weights) - len(made)))
+                inputs.append(made + [zeros] * (len(mixer.weights) - len(made)))
                 gates.append(np.broadcast_to(column.gate, len(column.bits)))
                 bits.append(column.bits)
         if bits:
@@ -567,7 +559,7 @@ def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
 
 def _without(tables: dict[str, np.ndarray], source, names):
     """A look-up of log-odds that leaves a source's own counts out."""
-    columns, own = [c for c in source.columns() if not c.deep], {}
+    columns, own = list(source.columns()), {}
     times = np.concatenate([source.times[c.rows] if isinstance(source, Spelling) else np.ones(len(c.bits)) for c in columns])
     for t in names:
         cells, inverse = np.unique(np.concatenate([source.slots(t, c) * 2 + c.bits for c in columns]), return_inverse=True)

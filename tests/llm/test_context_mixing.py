@@ -112,3 +112,22 @@ def test_awkward_rows(spark):
     lonely = next(i for i in range(1000) if held_out(i))
     unseen = unseen or score_documents(docs.where("doc_id = 4").selectExpr(f"{lonely}L AS doc_id", "text"))
     assert [(r.n_known, r.train_tokens) for r in unseen.collect()] == [(0, 0)] * 2
+
+
+def test_every_bit_is_asked_in_every_context():
+    """Deep bits too: of a long code, the last bits tell two rare words apart by the word before."""
+    counts = [2**k for k in range(17, 0, -1)]
+    words = [b"w%d" % k for k in range(len(counts))]
+    code = Code(words, np.array([*counts, 3, 1]), sum(counts) + 4, len(words) + 2)
+    deep = [w.decode() for w in sorted(words, key=lambda w: code.lengths[code.number[w]])[-2:]]
+    texts = [f"w0 {deep[0]}", f"w1 {deep[1]}"] * 40
+    counted, stream = context_mixing._Counts(WORD_TABLES), Stream(code, texts)
+    assert code.lengths[stream.symbol].max() > 14
+    counted.add(stream)
+    bits = int(code.lengths[stream.symbol].sum())
+    assert {t: int(x.sum()) for t, x in counted.tables.items()} == dict.fromkeys(("before", "two", "endings"), bits)
+    model = fit(code, counted.tables | {t: np.zeros(2 << context_mixing.TABLE_BITS, np.uint32) for t in context_mixing.BYTE_TABLES}, texts)
+    for column in stream.columns():
+        assert all(len(x) == len(column.bits) for x in model.inputs(stream, column, lambda t, slots: slots))
+    right, wrong = (model.costs(Stream(code, [f"{a} {deep[0]}"]))[1] for a in ("w0", "w1"))
+    assert right > wrong
