@@ -11,9 +11,10 @@ earlier words only, so the bits' probabilities multiply to the text's.
 
 What is learned covers every training document (crc32 of the id not 0 modulo 10): word counts, and for each
 hashed context how often a bit was 0 and 1. Partitions add up tables of fixed size and send them in compressed
-segments, which are summed by segment. Only the weights, the gate's table and the trust in the in-document
-predictor, some hundred numbers, are fitted to a bounded sample of training documents (LEARN_ROWS, none over
-LEARN_CHARS), in one online pass in which the documents' own counts are left out.
+segments, which are summed by segment. The trust in the in-document predictor is counted along. The weights and
+the gate's table are then fitted to all training documents too: each task makes one online pass over its own, a
+group of documents at a time (about a LEARN_SHARE-th of all text, at most LEARN_BYTES, one document at least) whose
+own counts are left out; the tasks' weights are averaged by the bits that each gate has seen, their tables added.
 
 The base score needs every word's exact count: those of the HEAD words go to all tasks, a bounded table; the
 rare rest is joined by word.
@@ -45,8 +46,10 @@ HEAD = 1 << 17
 TABLE_BITS = 20
 WORD_TABLES, BYTE_TABLES = ("before", "two", "endings"), ("bytes2", "bytes3", "bytes5")
 TABLES = (*WORD_TABLES, *BYTE_TABLES)
+#: The name under which the follower's counts travel with the tables.
+TRUST = "trust"
 SEGMENT = 1 << 14
-LEARN_ROWS, LEARN_CHARS, LEARN_TOGETHER = 256, 20_000, 8
+LEARN_SHARE, LEARN_BYTES, LEARN_TOGETHER, LEARN_BITS = 200, 1_000_000, 8, 1 << 21
 CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
@@ -359,28 +362,32 @@ class _Counts:
 
     def __init__(self, names):
         self.tables = {t: np.zeros(2 << TABLE_BITS, np.uint32 if t in WORD_TABLES else np.float64) for t in names}
+        #: How often the follower was right and how often it guessed, by run.
+        self.trust = np.zeros((2, RUNS))
         self.empty = True
 
     def add(self, source) -> None:
         self.empty = False
         for column in source.columns():
+            if column.run:
+                self.trust[:, column.run] += np.count_nonzero(column.sign == 2 * column.bits - 1), np.count_nonzero(column.sign)
             times = source.times[column.rows] if isinstance(source, Spelling) else _ONE
             for t, table in self.tables.items():
                 np.add.at(table, source.slots(t, column) * 2 + column.bits, times)
 
     def out(self):
         if not self.empty:
-            yield from _packed({(t, i): x[at : at + SEGMENT] for t, x in self.tables.items() for i, at in enumerate(range(0, 2 << TABLE_BITS, SEGMENT))})
+            yield from _packed({(t, i): x[at : at + SEGMENT] for t, x in self.tables.items() for i, at in enumerate(range(0, 2 << TABLE_BITS, SEGMENT))} | {(TRUST, 0): self.trust.ravel()})
 
 
-def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast) -> dict[str, np.ndarray]:
-    """For every hashed context, how often bits were 0 and 1: of words over all documents, of bytes over all rare words."""
+def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """For every hashed context, how often bits were 0 and 1: of words over all documents, of bytes over all rare words; the follower's trust."""
 
     def of_texts(batches):
         counted = _Counts(WORD_TABLES)
         for batch in batches:
             for part in slices(batch, text_col, SLICE_BYTES):
-                counted.add(Stream(code.value, part.column(text_col).to_pylist(), follow=False))
+                counted.add(Stream(code.value, part.column(text_col).to_pylist()))
         yield from counted.out()
         del counted
         trim()
@@ -398,7 +405,7 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
         sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
             for t, i, data in zip(*(batch.column(c).to_pylist() for c in ("t", "segment", "data")), strict=True):
-                part = np.frombuffer(zlib.decompress(data), np.uint32)
+                part = np.frombuffer(zlib.decompress(data), np.float64 if t == TRUST else np.uint32)
                 sums[t, i] = part.astype(np.float64) if (t, i) not in sums else sums[t, i] + part
         yield from _packed(sums)
 
@@ -407,11 +414,14 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
     tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     made = docs.select(text_col).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").coalesce(tasks).mapInArrow(of_words, schema))
     summed = made.repartition("t", "segment").mapInArrow(total, schema).toArrow()
-    tables = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}
+    tables, trust = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}, np.zeros((2, RUNS))
     for t, i, data in zip(*(summed.column(c) for c in ("t", "segment", "data")), strict=True):
+        if t.as_py() == TRUST:
+            trust = np.frombuffer(zlib.decompress(data.as_py()), np.float64).reshape(2, RUNS)
+            continue
         at = i.as_py() * SEGMENT
         tables[t.as_py()][at : at + SEGMENT] = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
-    return tables
+    return tables, trust
 
 
 def _packed(segments: dict):
@@ -419,7 +429,7 @@ def _packed(segments: dict):
     for at in range(0, len(items), 64):
         some = items[at : at + 64]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.int32()), pa.array([zlib.compress(np.minimum(v, 2**32 - 1).astype(np.uint32).tobytes(), 1) for _, v in some], pa.binary())],
+            [pa.array([k[0] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.int32()), pa.array([zlib.compress((v if k[0] == TRUST else np.minimum(v, 2**32 - 1).astype(np.uint32)).tobytes(), 1) for k, v in some], pa.binary())],
             names=["t", "segment", "data"],
         )
 
@@ -480,13 +490,26 @@ class Mixer:
             for cell, w in ((at, 1 - share), (at + 1, share)):
                 self.seen += np.bincount(cell, w, minlength=gates * BUCKETS).reshape(self.seen.shape)
                 self.ones += np.bincount(cell, w * y, minlength=gates * BUCKETS).reshape(self.seen.shape)
-        self.logs = self._logs()
+
+    def rows(self, bits: np.ndarray) -> np.ndarray:
+        """What was learned from so many bits by gate, a row each; rows of several passes add up."""
+        new = Mixer(*self.weights.shape)
+        return np.concatenate([bits[:, None], (self.weights * bits).T, (self.bias * bits)[:, None], self.seen - new.seen, self.ones - new.ones], axis=1)
+
+    def take(self, gate: int, row: np.ndarray) -> None:
+        """Weights averaged over passes, and the refinement table of all, from a sum of `rows`."""
+        inputs = len(self.weights)
+        self.weights[:, gate] = row[1 : 1 + inputs] / row[0]
+        self.bias[gate] = row[1 + inputs] / row[0]
+        self.seen[gate] += row[2 + inputs : 2 + inputs + BUCKETS]
+        self.ones[gate] += row[2 + inputs + BUCKETS :]
 
 
 class Model:
-    def __init__(self, code: Code, odds: dict[str, np.ndarray]):
+    def __init__(self, code: Code, odds: dict[str, np.ndarray], trust: np.ndarray):
         self.code, self.odds = code, odds
-        self.follow = np.zeros(RUNS, np.float32)
+        right, guessed = trust[0] + 1, trust[1] + 2
+        self.follow = np.log(right / (guessed - right)).astype(np.float32)
         self.mixers = {"words": Mixer(2 + len(WORD_TABLES), RUNS * DEPTHS), "bytes": Mixer(len(BYTE_TABLES), 8 * 4)}
 
     def inputs(self, source, column: Column, look) -> list[np.ndarray]:
@@ -526,51 +549,115 @@ class Model:
         return np.add.reduceat(costs, stream.first)
 
 
-def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
-    """Learns the mixers online from training texts, LEARN_TOGETHER at a time and each time without their own counts."""
-    model = Model(code, {t: _kept(_odds(x[0::2].astype(float), x[1::2].astype(float))) for t, x in tables.items()})
-    streams = [Stream(code, texts[i : i + LEARN_TOGETHER]) for i in range(0, len(texts), LEARN_TOGETHER)]
-    right, seen = np.ones(RUNS), np.full(RUNS, 2.0)
-    for column in chain.from_iterable(s.columns() for s in streams):
-        if column.run:
-            seen[column.run] += np.count_nonzero(column.sign)
-            right[column.run] += np.count_nonzero(column.sign == 2 * column.bits - 1)
-    model.follow = np.log(right / (seen - right + 1e-9)).astype(np.float32)
-
-    for kind, names in (("words", WORD_TABLES), ("bytes", BYTE_TABLES)):
-        mixer, inputs, gates, bits = model.mixers[kind], [], [], []
-        for s in streams:
-            source = s if kind == "words" else Spelling(s.rare, np.bincount(s.token[s.token > code.start] - code.start - 1)) if s.rare else None
-            if source is None:
-                continue
-            look = _without(tables, source, names)
-            for column in source.columns():
-                made = model.inputs(source, column, look)
-                zeros = np.zeros(len(column.bits), np.float32)
-                inputs.append(made + [zeros] * (len(mixer.weights) - len(made)))
-                gates.append(np.broadcast_to(column.gate, len(column.bits)))
-                bits.append(column.bits)
-        if bits:
-            # In the order of the documents' columns, dealt out anew so that each step sees all gates.
-            order = np.random.default_rng(3).permutation(sum(map(len, bits)))
-            mixer.learn([np.concatenate(x)[order] for x in zip(*inputs, strict=True)], np.concatenate(gates)[order], np.concatenate(bits)[order].astype(np.float32))
+class Learner:
+    """One online pass of the mixers over training documents, each group without its own counts."""
+
+    def __init__(self, code: Code, tables: dict[str, np.ndarray], trust: np.ndarray):
+        self.model, self.tables = Model(code, {}, trust), tables
+        self.own = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}
+        self.bits = {kind: np.zeros(m.weights.shape[1]) for kind, m in self.model.mixers.items()}
+
+    def add(self, texts: list[str | None]) -> None:
+        stream = Stream(self.model.code, texts)
+        self._learn("words", WORD_TABLES, stream)
+        if stream.rare:
+            # Each place of a rare word counts.
+            at = stream.token[stream.token > stream.code.start] - stream.code.start - 1
+            self._learn("bytes", BYTE_TABLES, Spelling([stream.rare[i] for i in at.tolist()]))
+
+    def _learn(self, kind: str, names: tuple[str, ...], source) -> None:
+        for t in names:
+            self.own[t].fill(0)
+        for column in source.columns():
+            for t in names:
+                np.add.at(self.own[t], source.slots(t, column) * 2 + column.bits, _ONE)
+        held, size = [], 0
+        for column in source.columns():
+            made = self.model.inputs(source, column, self._look)
+            zeros = [np.zeros(len(column.bits), np.float32)] * (len(self.model.mixers[kind].weights) - len(made))
+            held.append(([*made, *zeros], np.broadcast_to(column.gate, len(column.bits)), column.bits))
+            size += len(column.bits)
+            if size > LEARN_BITS:
+                self._step(kind, held)
+                held, size = [], 0
+        self._step(kind, held)
+
+    def _look(self, t: str, slots: np.ndarray) -> np.ndarray:
+        zero, one = ((self.tables[t].take(cell) - np.minimum(self.own[t].take(cell), self.tables[t].take(cell))).astype(np.float32) for cell in (slots * 2, slots * 2 + 1))
+        return _odds(zero, one)
+
+    def _step(self, kind: str, held: list) -> None:
+        if held:
+            inputs, gates, bits = zip(*held, strict=True)
+            gate = np.concatenate(gates)
+            # Dealt out anew so that each step sees all gates.
+            order = np.random.default_rng(3).permutation(len(gate))
+            gate = gate[order]
+            self.bits[kind] += np.bincount(gate, minlength=len(self.bits[kind]))
+            self.model.mixers[kind].learn([np.concatenate(x)[order] for x in zip(*inputs, strict=True)], gate, np.concatenate(bits)[order].astype(np.float32))
+
+    def rows(self):
+        """(kind, gate, numbers) of every gate that has seen a bit."""
+        for kind, mixer in self.model.mixers.items():
+            rows = mixer.rows(self.bits[kind])
+            yield from ((kind, gate, rows[gate]) for gate in np.flatnonzero(self.bits[kind]).tolist())
+
+
+def _fitted(code: Code, tables: dict[str, np.ndarray], trust: np.ndarray, rows) -> Model:
+    """The model whose mixers have learned the sums of `Learner.rows`."""
+    model = Model(code, {t: _kept(_odds(x[0::2].astype(float), x[1::2].astype(float))) for t, x in tables.items()}, trust)
+    for kind, gate, row in rows:
+        model.mixers[kind].take(gate, row)
+    for mixer in model.mixers.values():
+        mixer.logs = mixer._logs()
     return model
 
 
-def _without(tables: dict[str, np.ndarray], source, names):
-    """A look-up of log-odds that leaves a source's own counts out."""
-    columns, own = list(source.columns()), {}
-    times = np.concatenate([source.times[c.rows] if isinstance(source, Spelling) else np.ones(len(c.bits)) for c in columns])
-    for t in names:
-        cells, inverse = np.unique(np.concatenate([source.slots(t, c) * 2 + c.bits for c in columns]), return_inverse=True)
-        own[t] = cells, np.bincount(inverse, times)
+def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
+    """Learns the mixers from training texts in one pass, LEARN_TOGETHER at a time."""
+    counted = _Counts(())
+    groups = [texts[i : i + LEARN_TOGETHER] for i in range(0, len(texts), LEARN_TOGETHER)]
+    for group in groups:
+        counted.add(Stream(code, group))
+    learner = Learner(code, tables, counted.trust)
+    for group in groups:
+        learner.add(group)
+    return _fitted(code, tables, counted.trust, learner.rows())
+
+
+def _learned(docs: DataFrame, text_col: str, code: Broadcast, tables: dict[str, np.ndarray], trust: np.ndarray) -> list[tuple[str, int, np.ndarray]]:
+    """The sums of `Learner.rows` of one pass by task over all documents."""
+    sent = docs.sparkSession.sparkContext.broadcast(tables)
+    # A word and its space have about six bytes.
+    group = min(LEARN_BYTES, code.value.total * 6 // LEARN_SHARE)
+
+    def run(batches):
+        learner = None
+        for batch in batches:
+            for part in slices(batch, text_col, group):
+                learner = learner or Learner(code.value, sent.value, trust)
+                learner.add(part.column(text_col).to_pylist())
+        yield from out(learner.rows() if learner else ())
+        del learner
+        trim()
+
+    def total(batches):
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        for batch in batches:
+            for kind, gate, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "gate", "data")), strict=True):
+                row = np.frombuffer(data, np.float64)
+                sums[kind, gate] = sums[kind, gate] + row if (kind, gate) in sums else row
+        yield from out((*k, row) for k, row in sums.items())
 
-    def count(t, cell):
-        cells, n = own[t]
-        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
-        return np.maximum(tables[t][cell] - n[at] * (cells[at] == cell), 0.0)
+    def out(rows):
+        if rows := list(rows):
+            kinds, gates, data = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(gates, pa.int32()), pa.array([x.tobytes() for x in data], pa.binary())], names=["kind", "gate", "data"])
 
-    return lambda t, slots: _odds(count(t, slots * 2), count(t, slots * 2 + 1))
+    schema = "kind string, gate int, data binary"
+    made = docs.select(text_col).mapInArrow(run, schema).repartition("kind", "gate").mapInArrow(total, schema).toArrow()
+    sent.unpersist()
+    return [(kind.as_py(), gate.as_py(), np.frombuffer(data.as_py(), np.float64)) for kind, gate, data in zip(*made.columns, strict=True)]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model]:
@@ -581,9 +668,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     counts = _counted(used, text_col).checkpoint()
     code = head_of(counts)
     sent = context.broadcast(code)
-    tables = _tables(used, text_col, counts, sent)
-    sample = used.where((F.length(text_col) > 0) & (F.length(text_col) <= LEARN_CHARS)).orderBy(F.xxhash64(id_col, text_col), id_col).limit(LEARN_ROWS)
-    model = fit(code, tables, [r[text_col] for r in sample.collect()])
+    tables, trust = _tables(used, text_col, counts, sent)
+    model = _fitted(code, tables, trust, _learned(used, text_col, sent, tables, trust))
     return counts, model
 
 

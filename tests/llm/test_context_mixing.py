@@ -131,3 +131,19 @@ def test_every_bit_is_asked_in_every_context():
         assert all(len(x) == len(column.bits) for x in model.inputs(stream, column, lambda t, slots: slots))
     right, wrong = (model.costs(Stream(code, [f"{a} {deep[0]}"]))[1] for a in ("w0", "w1"))
     assert right > wrong
+
+
+def test_mixers_learn_from_every_training_document(spark):
+    """More documents than a sample would hold, and long ones, each bit once."""
+    rng = np.random.default_rng(7)
+    names = [f"w{int(k)}" for k in rng.zipf(1.5, 40_000) % 900]
+    rows = [(i, " ".join(names[i * 9 : i * 9 + 9])) for i in range(400)] + [(1000 + i, " ".join(names[i * 9000 : i * 9000 + 9000])) for i in range(3)]
+    used = [t for i, t in rows if not held_out(i)]
+    assert len(used) > 300 and max(map(len, used)) > 20_000
+    _, model = context_mixing.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    code = model.code
+    stream = Stream(code, used)
+    spelled = [stream.rare[t - code.start - 1] for t in stream.token.tolist() if t > code.start]
+    seen = {kind: m.seen.sum() - 4 * m.seen.size for kind, m in model.mixers.items()}
+    assert math.isclose(seen["words"], code.lengths[stream.symbol].sum(), rel_tol=1e-6)
+    assert spelled and math.isclose(seen["bytes"], 8 * sum(len(w) + 1 for w in spelled), rel_tol=1e-6)
