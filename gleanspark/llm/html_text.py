@@ -4,7 +4,8 @@ A page is read as a row of words and tags. Words score by where they stand (insi
 part, plain, in a link, in a part that its tag or class calls a menu, footer, advert, form, comment...),
 tags by their name and always below zero. The scores are log-odds counted on labelled pages, those of
 LABELLED unless others are given. One linear scan finds the contiguous run with the greatest total,
-which is the content region; of its words, those in called-out parts are left out.
+which is the content region; of its words, those in called-out parts are left out. A called-out part inside a
+main part (an inset) counts for its own two tags alone, however long it is, so that it cannot part the text around it.
 
 Text comes as blocks in page order, joined by an empty line; within a block, character references are
 decoded once and white space, line breaks included, becomes one space.
@@ -50,11 +51,14 @@ _ASIDE_HINT = re.compile(
 _MAIN_HINT = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blogpost)(?:$|[\s_-])", re.I)
 _HINTS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:\s|^)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-ASIDE, LINK, MAIN, PLAIN = "aside", "link", "main", "plain"
+ASIDE, INSET, LINK, MAIN, PLAIN = "aside", "inset", "link", "main", "plain"
 
 
 def tokens(page: str):
-    """(place, text) for each run of text and (tag name, None) for each tag, in page order; raw elements are skipped."""
+    """(place, text) for each run of text and (tag name, None) for each tag, in page order; raw elements are skipped.
+
+    Names of tags inside an inset are in capitals.
+    """
     stack: list[tuple[str, str]] = []
     is_open: Counter = Counter()
     place, at, end = PLAIN, 0, len(page)
@@ -85,7 +89,7 @@ def tokens(page: str):
             if is_open[name]:
                 pop_to(name)
                 place = stack[-1][1] if stack else PLAIN
-            yield name, None
+            yield name.upper() if place == INSET else name, None
             continue
         if name in _RAW_END:
             close = _RAW_END[name].search(page, at)
@@ -94,7 +98,7 @@ def tokens(page: str):
         if name in _BLOCK and is_open["p"]:
             pop_to("p")
             place = stack[-1][1] if stack else PLAIN
-        yield name, None
+        yield name.upper() if place == INSET else name, None
         if name not in _VOID:
             place = _inside(name, found["rest"], place)
             stack.append((name, place))
@@ -103,11 +107,14 @@ def tokens(page: str):
 
 def _inside(name: str, attributes: str, outer: str) -> str:
     """Where the words inside an element stand."""
-    if outer == ASIDE or (name in _ASIDE and not (name == "header" and outer == MAIN)):
-        return ASIDE
+    if outer in (ASIDE, INSET):
+        return outer
+    called_out = INSET if outer == MAIN else ASIDE
+    if name in _ASIDE and not (name == "header" and outer == MAIN):
+        return called_out
     hints = " ".join("".join(h) for h in _HINTS.findall(attributes)) if "=" in attributes else ""
     if name not in ("html", "body") and ((hints and _ASIDE_HINT.search(hints)) or (attributes and _HIDDEN.search(attributes))):
-        return ASIDE
+        return called_out
     if name == "a" and outer != MAIN:
         return LINK
     if name in _MAIN or (hints and name not in ("html", "body") and _MAIN_HINT.search(hints)):
@@ -142,9 +149,10 @@ def weights(labelled: tuple[str, ...] = tuple(LABELLED)) -> dict[str, float]:
         content = False
         for what, text in tokens(page):
             if text is None:
-                total[f"<{what}"] += 1
-                inside[f"<{what}"] += content
+                total[f"<{what.lower()}"] += 1
+                inside[f"<{what.lower()}"] += content
                 continue
+            what = ASIDE if what == INSET else what
             for piece in re.split(r"(\[\[|\]\])", text):
                 if piece in ("[[", "]]"):
                     content = piece == "[["
@@ -161,7 +169,10 @@ def best_run(row: list[tuple[str, str | None]], learned: dict[str, float]) -> tu
     unknown, run, start = learned["<"], 0.0, 0
     best, first, last = 0.0, 0, 0
     for i, (what, text) in enumerate(row):
-        run += learned.get(f"<{what}", unknown) if text is None else len(text.split()) * learned[what]
+        if text is None:
+            run += 0.0 if what.isupper() else learned.get(f"<{what}", unknown)
+        elif what != INSET:
+            run += len(text.split()) * learned[what]
         if run > best:
             best, first, last = run, start, i + 1
         elif run <= 0:
@@ -178,9 +189,9 @@ def main_text(page: str | None, learned: dict[str, float] | None = None) -> str:
     blocks, block = [], []
     for what, text in row[first:last]:
         if text is not None:
-            if what != ASIDE:
+            if what not in (ASIDE, INSET):
                 block.append(text)
-        elif what in _BLOCK:
+        elif what.lower() in _BLOCK:
             blocks.append(block)
             block = []
         elif what == "br":

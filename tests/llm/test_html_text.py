@@ -70,3 +70,11 @@ def test_awkward_rows(spark):
 
 def test_tags_never_help():
     assert all(w < 0 for k, w in weights().items() if k[0] == "<") and weights()["main"] > weights()["plain"] > 0 > weights()["link"]
+
+
+def test_long_insets_do_not_part_the_text():
+    lead, rest = ("word " * 40).strip(), ("text " * 90).strip()
+    for inset in ("Buy now " * 400, "<ul>" + "<li><a href=x>More of it</a></li>" * 300 + "</ul>", "<p hidden>x</p><article><p>Read this instead</p></article>" * 100):
+        for junk in (f"<aside>{inset}</aside>", f'<div class="newsletter">{inset}</div>'):
+            page = f"<html><body><nav>Menu words</nav><article><p>{lead}</p>{junk}<p>{rest}</p></article><aside>{inset}</aside></body></html>"
+            assert main_text(page) == f"{lead}\n\n{rest}"
