@@ -72,7 +72,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanspark.llm import sampled_pieces
 
-    return sampled_pieces.sample_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), digest=True)
+    return sampled_pieces.sample_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

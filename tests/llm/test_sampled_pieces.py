@@ -80,3 +80,13 @@ def test_awkward_rows(spark):
     assert [r.n_tokens for r in rows if r.doc_id == 1] == [0]
     assert sample_pieces(docs.limit(0), MODEL).count() == 0
     assert [r[:6] for r in rows_of(got.drop("ids"))] == [r[:6] for r in rows_of(sample_pieces(docs, MODEL, 2, digest=True))]
+
+
+def test_the_registered_query_returns_the_segmentations(spark):
+    from gleanspark.llm.queries import op10_sampled_pieces
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for r in op10_sampled_pieces(spark, folder).collect():
+        assert len(r.ids) == r.n_tokens
+        assert r.round_trip == (library.decode(list(r.ids)) == texts[r.doc_id].replace(SPACE, " "))
