@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 
 from gleanspark.llm.arrowmap import map_texts
 
+#: A quoted value has any length. The search for its end can fail but once for each kind of quote, so reading stays linear.
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?>=\s*\"[^\"]{0,2000}\"|=\s*'[^']{0,2000}'|[^>])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
+    r"<!--(?:.*?-->|.*)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?>=\s*\"[^\"]*+\"|=\s*'[^']*+'|[^>])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
 )
 _RAW = "script style noscript template svg math iframe object canvas textarea".split()
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _RAW}

@@ -78,3 +78,14 @@ def test_long_insets_do_not_part_the_text():
         for junk in (f"<aside>{inset}</aside>", f'<div class="newsletter">{inset}</div>'):
             page = f"<html><body><nav>Menu words</nav><article><p>{lead}</p>{junk}<p>{rest}</p></article><aside>{inset}</aside></body></html>"
             assert main_text(page) == f"{lead}\n\n{rest}"
+
+
+def test_quoted_values_of_any_length():
+    for quote in "\"'":
+        value = "x > <p>no</p> " * 100_000
+        assert main_text(f"<article><p data-x={quote}{value}{quote}>yes</p></article>") == "yes"
+    began = time.time()
+    for unit in ("<a b=\"'", "<a b='>\"", "<p x= >", "=\"", "<a =' \">"):
+        main_text(f"<b {unit * 60_000}")
+        main_text(unit * 60_000 + "<i x=\"" + "<i y='" + "<i z=" * 60_000)
+    assert time.time() - began < 20
