@@ -77,6 +77,16 @@ def filter_rows(df: DataFrame, text: str, start: Callable[[], Callable[[list], l
     return df.mapInArrow(run, df.schema)
 
 
+def fresh(taken: list[str], names: list[str]) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of those taken."""
+    lower, made = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in lower:
+            name = f"_{name}"
+        made.append(name)
+    return made
+
+
 def ascii_lower(text: str) -> str:
     """Lower-cases A-Z alone, so positions stay the same."""
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")

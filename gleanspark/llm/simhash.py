@@ -9,18 +9,26 @@ its own pairs of segments and asks for those pairs with each bit of the second t
 a key still has to pass the third step of the chain before the full Hamming check.
 
 Copies collapse first, so keys are made of distinct fingerprints only. Under one key, links are not
-listed but merged: only a spanning forest of the key's links leaves the task, and keys with more than
-KEY_ROWS rows are dealt in pairs of blocks, so that neither memory nor output grows with the square of
-a group of near copies. Components then follow from the forests.
+listed but merged: only a spanning forest of the key's links leaves the task. A key with more than KEY_ROWS
+fingerprints stored under it, or asking for it, is dealt out. Of the 32 bits that the key leaves open at most
+BUDGET differ, so of PIECES pieces of them all but BUDGET are equal: rows meet by each choice of so many pieces.
+Fingerprints that differ in three neighbouring bits at most have been merged before (at most eight of them agree
+in all others), and what is merged need not meet again: the rows of the largest such part are dealt in blocks of
+KEY_ROWS, and only the others are copied to each block, themselves in blocks if they are many. So no task holds more
+than two blocks, and rows grow with the square of a group only if it has many rows under one choice of pieces that are not
+linked by neighbouring bits. Components then follow from the forests.
 
 Edge cases: a null or wordless text has the fingerprint zero and is linked like any other; fewer than
 three words are one shingle; repeated rows and ids keep their rows; null ids never name a component
-unless all of its ids are null; an empty table gives an empty result; extra columns are ignored.
+unless all of its ids are null; a bit set in just half of the shingles is 0; no other ties arise; an empty
+table gives an empty result; extra columns, whatever their names, are ignored or carried along as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.arrowmap import map_texts
+from gleanspark.llm.arrowmap import fresh, map_texts
 from gleanspark.llm.components import components, with_checkpoints
 
 BITS, SEGMENTS, BUDGET = 64, 4, 3
@@ -37,6 +45,8 @@ _LOW = (1 << WIDTH) - 1
 SHINGLE = 3
 #: Rows of one key that a task takes as one block.
 KEY_ROWS = 4096
+#: Widths of the pieces of the bits that a key leaves open, any two of which may have to be equal.
+PIECES = (7, 7, 6, 6, 6)
 #: More keys of that size than this are joined by a shuffle instead of a broadcast (8 bytes each).
 BROADCAST_KEYS = 100_000
 
@@ -118,10 +128,10 @@ def _forest(own: np.ndarray, asking: np.ndarray, segment: int) -> tuple[np.ndarr
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of every key's links; rows come sorted by key."""
+    """Spanning edges of the links of every key and part; rows come sorted by both."""
 
-    def edges(keys, fps, asks):
-        cut = np.flatnonzero(np.diff(keys)) + 1
+    def edges(keys, parts, fps, asks):
+        cut = np.flatnonzero((np.diff(keys) != 0) | (np.diff(parts) != 0)) + 1
         first, size = np.concatenate([[0], cut]), np.diff(np.concatenate([[0], cut, [len(keys)]]))
         stored = np.add.reduceat(~asks, first)
         a, b = [], []
@@ -142,32 +152,74 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        keys, fps = (batch.column(n).to_numpy() for n in ("key", "fp"))
+        keys, parts, fps = (batch.column(n).to_numpy() for n in ("key", "part", "fp"))
         asks = batch.column("asks").to_numpy(zero_copy_only=False)
-        held.append((keys, fps.view(np.uint64), asks))
-        if held[0][0][0] != keys[-1] or len(held) == 1:
-            keys, fps, asks = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.append((keys, parts, fps.view(np.uint64), asks))
+        if (held[0][0][0], held[0][1][0]) != (keys[-1], parts[-1]) or len(held) == 1:
+            keys, parts, fps, asks = (np.concatenate(x) for x in zip(*held, strict=True))
             last = int(np.searchsorted(keys, keys[-1], "left"))
+            last += int(np.searchsorted(parts[last:], parts[-1], "left"))
             if last:
-                yield edges(keys[:last], fps[:last], asks[:last])
-            held = [(keys[last:], fps[last:], asks[last:])]
+                yield edges(keys[:last], parts[:last], fps[:last], asks[:last])
+            held = [(keys[last:], parts[last:], fps[last:], asks[last:])]
     if held:
         yield edges(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
+def _large_keys(rows: DataFrame) -> DataFrame:
+    """The keys under which more than KEY_ROWS fingerprints are stored or, but for as many, ask."""
+    stored = rows.where("not asks").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # Who asks for a key is stored under one of its WIDTH neighbours, so that only neighbours of fairly large keys are asked for by many.
+    heavy = stored.where(f"n > {KEY_ROWS // WIDTH}").checkpoint()
+    around = F.explode(F.array(*(F.col("key").bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(WIDTH))))
+    asked = heavy.select(around.alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
+    return heavy.unionAll(asked).where(f"n > {KEY_ROWS}").select("key").distinct().checkpoint()
+
+
+def _cliques(fps: DataFrame) -> DataFrame:
+    """Edges between fingerprints that agree in all but three neighbouring bits; no group has more than eight."""
+    masks = [~(7 << at) % (1 << BITS) for at in range(0, BITS, 3)]
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+    parts = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("rest")) for i, m in enumerate(signed))))
+    groups = fps.select("fp", parts.alias("p")).groupBy("p.i", "p.rest").agg(F.min("fp").alias("b"), F.collect_list("fp").alias("all")).where("size(all) > 1")
+    return groups.select(F.explode("all").alias("a"), "b").where("a <> b")
+
+
+def _dealt(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, part, fp, asks) rows of large keys, dealt in parts of bounded size, and the edges found on the way."""
+    cliques = _cliques(hot.select("fp").distinct()).checkpoint()
+    label = components(cliques).select(F.col("node").alias("fp"), F.col("root").alias("label"))
+    turn = F.shiftrightunsigned("key", 2 * WIDTH).cast("int") * WIDTH
+    ring = F.call_function("shiftrightunsigned", F.col("fp"), turn).bitwiseOR(F.call_function("shiftleft", F.col("fp"), BITS - turn))
+    piece = [F.shiftrightunsigned(ring, 2 * WIDTH + sum(PIECES[:i])).bitwiseAND(F.lit((1 << w) - 1).cast("long")) for i, w in enumerate(PIECES)]
+    choices = combinations(range(len(PIECES)), len(PIECES) - BUDGET)
+    subs = [reduce(lambda x, p: F.shiftleft(x, 7).bitwiseOR(p), (piece[i] for i in chosen), F.lit(n).cast("long")) for n, chosen in enumerate(choices)]
+    rows = hot.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp")).select("key", "fp", "asks", "label", F.explode(F.array(*subs)).alias("sub"))
+    rows = rows.checkpoint()
+    by_label = rows.groupBy("key", "sub", "label").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("asks")).alias("stored"))
+    sizes = by_label.groupBy("key", "sub").agg(F.sum("n").alias("n"), F.sum("stored").alias("stored"), F.max("n").alias("most"), F.max_by("label", F.struct("n", "label")).alias("largest"))
+    sizes = sizes.where("stored > 0 and most < n").select("key", "sub", "largest", F.ceil(F.col("n") / KEY_ROWS).alias("blocks"), F.ceil((F.col("n") - F.col("most")) / KEY_ROWS).alias("few"))
+    met = rows.join(sizes, ["key", "sub"])
+    mine, fews = F.pmod(F.xxhash64("fp"), F.col("blocks")), F.pmod(F.xxhash64("fp", F.lit(1)), F.col("few"))
+    up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    as_any = F.transform(up_to("few"), lambda f: F.struct(f.alias("f"), mine.alias("a"), F.lit(True).alias("asks")))
+    as_few = F.transform(up_to("blocks"), lambda a: F.struct(fews.alias("f"), a.alias("a"), F.lit(False).alias("asks")))
+    places = F.when(F.col("label") == F.col("largest"), as_any).otherwise(F.concat(as_any, as_few))
+    met = met.select("key", "sub", "fp", F.explode(places).alias("p"))
+    part = F.shiftleft("sub", 44).bitwiseOR(F.shiftleft("p.f", 22)).bitwiseOR(F.col("p.a"))
+    return met.select("key", part.alias("part"), "fp", "p.asks"), cliques
+
+
 def linked(fps: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect just what links of at most BUDGET bits connect."""
-    rows = _keyed(fps)
-    large = rows.where("not asks").groupBy("key").count().where(f"count > {KEY_ROWS}").checkpoint()
+    rows = _keyed(fps).withColumn("part", F.lit(0).cast("long")).select("key", "part", "fp", "asks")
+    large, found = _large_keys(rows), None
     if n := large.count():
-        # Each block of stored rows meets all rows of its key.
-        large = large.select("key", F.ceil(F.col("count") / KEY_ROWS).cast("int").alias("blocks"))
-        rows = rows.join(F.broadcast(large) if n <= BROADCAST_KEYS else large, "key", "left")
-        rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
-        stored = ~F.col("asks") & (F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))) == F.col("block"))
-        key = F.col("key").bitwiseOR(F.shiftleft(F.col("block").cast("long"), 2 * WIDTH + 8))
-        rows = rows.select(key.alias("key"), "fp", (~stored).alias("asks"))
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long")
+        large = F.broadcast(large) if n <= BROADCAST_KEYS else large
+        hot, cliques = _dealt(rows.join(large, "key", "left_semi"))
+        rows, found = rows.join(large, "key", "left_anti").unionByName(hot), cliques
+    edges = rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_links, "a long, b long")
+    return edges if found is None else edges.unionByName(found)
 
 
 def label_components(made: DataFrame, id_col: str) -> DataFrame:
@@ -191,21 +243,21 @@ def hex_of(fp: str) -> Column:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, fingerprint and component_id (the least id reachable over links) of each row."""
     with_checkpoints(docs.sparkSession)
-    made = fingerprints(docs, [id_col], text_col).checkpoint()
-    return label_components(made, id_col).select(id_col, hex_of("fp").alias("fingerprint"), "component_id")
+    made = fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), ["id"]).checkpoint()
+    return label_components(made, "id").select(F.col("id").alias(id_col), hex_of("fp").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the least id (then the least text hash) of each component, with all its columns.
+    """One row of each component, with all its columns: that with the least id, then the least hash of its text, then of the whole row.
 
-    A row that is repeated as a whole is kept once; null ids count as least.
+    Null ids count as least. Rows that are equal in all of this are repeated as a whole, and one of them is kept.
     """
     with_checkpoints(docs.sparkSession)
-    keys = ["_id", "_none", "_hash"]
-    made_of = [F.coalesce(id_col, F.lit(0)).alias("_id"), F.col(id_col).isNull().alias("_none"), F.xxhash64(text_col).alias("_hash")]
-    narrow = docs.select(*made_of, F.col(text_col))
-    made = fingerprints(narrow, keys, text_col).checkpoint()
-    order = F.struct((~F.col("_none")).alias("some"), "_id", "_hash")
-    chosen = label_components(made, "_id").groupBy("root").agg(F.min(order).alias("k"))
-    chosen = chosen.select("k._id", (~F.col("k.some")).alias("_none"), "k._hash")
+    keys = fresh(docs.columns, ["some", "id", "hash", "row"])
+    made_of = [F.col(id_col).isNotNull(), F.coalesce(id_col, F.lit(0)), F.xxhash64(text_col), F.xxhash64(*docs.columns)]
+    made_of = [c.alias(k) for c, k in zip(made_of, keys, strict=True)]
+    narrow = docs.select(*made_of, F.col(text_col).alias("text")).toDF("some", "id", "hash", "row", "text")
+    made = fingerprints(narrow, ["some", "id", "hash", "row"]).checkpoint()
+    chosen = label_components(made, "id").groupBy("root").agg(F.min(F.struct("some", "id", "hash", "row")).alias("k"))
+    chosen = chosen.select("k.*").toDF(*keys)
     return docs.select("*", *made_of).join(chosen, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

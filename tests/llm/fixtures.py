@@ -14,8 +14,15 @@ AWKWARD = [
     (9, "x" * 70_000, "xx", "hot", 70_000),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Names that the operators use themselves.
-CLASHES = {n: "lit" for n in ("score", "fp", "key", "root", "spans", "fingerprint", "n_words", "label", "a", "b", "h", "bucket", "word", "n", "c")}
+#: Names that the operators use themselves, and their relatives.
+CLASHES = {
+    n: "lit"
+    for n in (
+        "score fp key root spans fingerprint n_words label a b h bucket word n c part asks sub id hash some row _row _id _none _hash _text _label _fold _least first node least i p f terms numbers "
+        "gram item hit words range copy next_text edited own new next nodes pieces closes top is_top held_out predicted n_tokens n_known train_tokens base_score bits_per_byte rest times rare_base "
+        "rare_known head_known head_base n_bytes over_limit n_hit n_items items_sha256 contaminated n_assign n_access n_hex base_sha256 component_id draw ids pos seg ctx begin place blocks few largest"
+    ).split()
+}
 
 
 def awkward(spark, rows=AWKWARD):

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from fixtures import awkward
@@ -65,6 +66,43 @@ def test_links_equal_brute_force(spark, monkeypatch, key_rows):
     assert roots(fps, edges) == roots(fps, near(fps))
 
 
+def plain_labels(fps):
+    """The least index reachable from each fingerprint, by sweeps over all pairs."""
+    fps, label = np.array(fps, np.uint64), np.arange(len(fps))
+    while True:
+        before = label.copy()
+        for at in range(0, len(fps), 1000):
+            near_ = np.bitwise_count(fps[at : at + 1000, None] ^ fps[None, :]) <= 3
+            label[at : at + 1000] = np.where(near_, label[None, :], len(fps)).min(axis=1)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+@pytest.mark.parametrize("asked_by_many", [False, True])
+def test_hot_keys_are_dealt(spark, monkeypatch, asked_by_many):
+    """Thousands of fingerprints share half of their bits: some at random, some around a few centres; no part is large."""
+    monkeypatch.setattr(simhash, "KEY_ROWS", 256)
+    rng = random.Random(9)
+    fps = {0xABCD1234 << 32 | rng.getrandbits(32) for _ in range(5000)}
+    for width, size in ((9, 400), (14, 2500)):
+        centre, bits = 0xABCD1234 << 32 | rng.getrandbits(32), rng.sample(range(32), width)
+        fps |= {centre ^ sum(1 << b for b in bits if rng.random() < 0.5) for _ in range(size)}
+    if asked_by_many:  # few are stored under the keys that these ask for
+        fps |= {f ^ 1 << 33 for f in rng.sample(sorted(fps), 20)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    rows = simhash._keyed(df).withColumn("part", F.lit(0).cast("long"))
+    large = simhash._large_keys(rows.select("key", "part", "fp", "asks"))
+    dealt, _ = simhash._dealt(rows.join(large, "key", "left_semi").select("key", "part", "fp", "asks"))
+    sizes = dealt.groupBy("key", "part").count().agg(F.max("count")).first()[0]
+    assert large.count() > 10 and sizes < 4 * 256
+    edges = [(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in linked(df).collect()]
+    assert all((a ^ b).bit_count() <= 64 for a, b in edges)
+    label = plain_labels(fps)
+    assert roots(fps, edges) == {f: fps[i] for f, i in zip(fps, label.tolist(), strict=True)}
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(150)] + [(1000, 1000 + i) for i in range(200)] + [(5, 5), (None, 3)]
@@ -96,3 +134,10 @@ def test_awkward_rows(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["4", "7", "8", "9", "None", "None"]
     assert keep_one(docs.limit(0)).count() == 0
     assert kept.where(F.col("doc_id") == 4).count() == 1
+
+
+def test_rows_of_one_text_that_differ_elsewhere(spark):
+    """One row of a group stays, the same one however the rows come."""
+    rows = [(1, "a b c d", x) for x in "qwertz"] + [(2, "a b c d", "z")]
+    made = [keep_one(spark.createDataFrame(r, "doc_id long, text string, _row string").repartition(n)).collect() for r, n in ((rows, 1), (rows[::-1], 4))]
+    assert made[0] == made[1] and len(made[0]) == 1 and made[0][0].doc_id == 1
