@@ -1,46 +1,69 @@
 """Benchmark decontamination by winnowing.
 
-Words of a benchmark item become k-gram hashes; of each window of hashes the least is kept as a
-fingerprint, on both sides. Two texts that share `span` consecutive words share a whole window of
-hashes, hence a fingerprint, so looking up the documents' fingerprints among the items' and
-extending each hit word by word in both directions finds every shared span of that length.
-Items of fewer words are fingerprinted whole, by one gram of their own length.
-
-The documents are read once, map-only. The benchmark is the stated query set: it is taken in blocks
-of BLOCK_BYTES, each broadcast by itself, and every block meets every document; a worker holds the
-indexes of LIVE_BLOCKS blocks at a time, so its memory does not depend on the size of the benchmark.
+Words of a text become k-gram hashes; the least hash of each window of `span` words is its fingerprint, on both
+sides. Two texts that share `span` consecutive words share a whole window of grams, hence its fingerprint, so the
+windows of a document whose fingerprint is one of the benchmark's hold every shared span. Neighbouring windows mostly
+share their fingerprint, which is then looked up once. A hit is extended to the whole window by a hash of 128 bits over
+its words, and hits that overlap make longer spans. Items of fewer words are one window of their own length.
+
+The documents are read once, map-only: fingerprints and then windows are looked up in two bit maps of FILTER_BITS
+bits, whatever the size of the benchmark. What passes, (row, place, window), is joined to the benchmark's distinct windows:
+broadcast if there are BROADCAST_WINDOWS at most, else by a shuffle, whose large keys adaptive execution splits. Windows
+with the same items are one class, so that a document's items are looked up by its classes, not by its hits. The benchmark
+never passes through the driver.
 
 Edge cases: null or wordless texts have no words, no hits and no items; items without words never
-occur; items of the same words are looked up once and all their ids counted; rows that repeat an
-item_id are one item; items with a null id mark words but are not counted; an empty benchmark
-leaves every document clean; extra columns are ignored.
+occur; rows that repeat an item_id are one item; items with a null id mark words but are not counted; an empty
+benchmark leaves every document clean; extra columns are ignored or carried along as they are; no ties arise.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import Broadcast
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gleanspark.llm.arrowmap import filter_rows, map_texts
+from gleanspark.llm.arrowmap import filter_rows, fresh, map_texts
+from gleanspark.llm.components import with_checkpoints
 
-BLOCK_BYTES = 8_000_000
-LIVE_BLOCKS = 2
+#: Windows of a benchmark (16 bytes each) that are broadcast at most.
+BROADCAST_WINDOWS = 1_000_000
+FILTER_BITS = 1 << 24
+MEMO_WORDS = 300_000
 #: Any shared run of `span` words holds a window of `span - GRAM + 1` grams.
 GRAM = 5
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _NONE = np.uint64(2**64 - 1)
+_STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
 def words_of(text: str) -> list[bytes]:
     """The words of the contract, A-Z lower-cased, in UTF-8."""
-    return text.encode("utf-8", "surrogatepass").translate(_KEEP).split(b" ") if text else []
+    return text.encode("utf-8", "surrogatepass").translate(_KEEP).split() if text else []
+
+
+class _Hashes(dict):
+    """Hashes of words, above 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word) or 1
+        return found
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes of all words, each text closed by a 0; where each text begins; how many words it has)."""
+        if len(self) > MEMO_WORDS:
+            self.clear()
+        split = [words_of(t or "") for t in texts]
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        starts = np.cumsum(n + 1) - (n + 1)
+        ids = np.zeros(int((n + 1).sum()), np.uint64)
+        for words, first in zip(split, starts.tolist(), strict=True):
+            ids[first : first + len(words)] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        return ids, starts, n
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,180 +72,191 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def gram_hashes(ids: np.ndarray, k: int) -> np.ndarray:
-    """A hash for each run of k word ids; runs that hold an unknown word (0) get the greatest value."""
-    n = len(ids) - k + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out, known = np.zeros(n, np.uint64), np.ones(n, bool)
+def run_hashes(ids: np.ndarray, at: np.ndarray, k: int, step: np.uint64) -> np.ndarray:
+    """A hash of the k words from each place on."""
+    out = np.full(len(at), k, np.uint64)
     for j in range(k):
-        part = ids[j : j + n]
-        out = out * np.uint64(0x9E3779B97F4A7C15) + part
-        known &= part != 0
-    return np.where(known, _mixed(out) >> np.uint64(1), _NONE)
+        out = out * step + ids[at + j]
+    return _mixed(out)
 
 
-def winnowed(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Positions that hold the least hash of some window of hashes, ties included."""
-    n = len(hashes) - window + 1
-    if n <= 0:
+def whole_runs(ids: np.ndarray, k: int) -> np.ndarray:
+    """Places from which k words of one text follow."""
+    if len(ids) < k:
         return np.empty(0, np.int64)
-    least = hashes[:n].copy()
-    for j in range(1, window):
-        np.minimum(least, hashes[j : j + n], out=least)
-    # The greatest of the windows' minima that cover a position is its own hash if one chose it.
-    padded = np.concatenate([np.zeros(window - 1, np.uint64), least, np.zeros(window - 1, np.uint64)])
-    most = padded[: len(hashes)].copy()
-    for j in range(1, window):
-        np.maximum(most, padded[j : j + len(hashes)], out=most)
-    return np.flatnonzero((most == hashes) & (hashes != _NONE))
-
-
-class BlockIndex:
-    """One block of benchmark items, ready to meet documents."""
-
-    def __init__(self, items: list[tuple[list[str], str]], span: int):
-        self.span, self.names, self.texts, self.vocabulary = span, [], [], {}
-        grams: dict[int, list] = {}
-        for names, text in items:
-            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in text.encode("utf-8", "surrogatepass").split(b" ")], np.uint64)
-            k = min(len(ids), span) if len(ids) < span else GRAM
-            hashes = gram_hashes(ids, k)
-            at = winnowed(hashes, span - GRAM + 1) if len(ids) >= span else np.arange(1)
-            length = 0 if len(ids) >= span else len(ids)
-            grams.setdefault(length, []).append((hashes[at], np.full(len(at), len(self.texts)), at))
-            self.names.append(names)
-            self.texts.append(ids)
-        self.grams = {}
-        for length, parts in grams.items():
-            hashes, items_at, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(hashes, kind="stable")
-            self.grams[length] = hashes[order], items_at[order], at[order], self._bits(hashes)
-
-    @staticmethod
-    def _bits(hashes: np.ndarray) -> np.ndarray:
-        bits = np.zeros(1 << 20, bool)
-        bits[hashes & np.uint64(0xFFFFF)] = True
-        return bits
-
-    def mark(self, ids: np.ndarray, starts: np.ndarray, hit: np.ndarray, found: list[set[int]]) -> None:
-        """Marks hit words of the documents that `ids` holds one after another, each closed by a 0."""
-        for length, (keys, items, places, bits) in self.grams.items():
-            hashes = gram_hashes(ids, length or GRAM)
-            at = winnowed(hashes, self.span - GRAM + 1) if not length else np.flatnonzero(hashes != _NONE)
-            at = at[bits[hashes[at] & np.uint64(0xFFFFF)]]
-            low = np.searchsorted(keys, hashes[at], "left")
-            count = np.searchsorted(keys, hashes[at], "right") - low
-            at, low, count = at[count > 0], low[count > 0], count[count > 0]
-            which = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]) if len(count) else low, count) + np.arange(count.sum())
-            at = np.repeat(at, count)
-            if length:
-                self._mark_whole(ids, starts, hit, found, at, items[which], length)
-            else:
-                self._extend(ids, starts, hit, found, at, items[which], places[which])
-
-    def _mark_whole(self, ids, starts, hit, found, at, items, length) -> None:
-        flat = np.array([self.texts[i] for i in np.unique(items)], np.uint64) if len(items) else np.empty((0, length), np.uint64)
-        row = np.searchsorted(np.unique(items), items)
-        same = np.ones(len(at), bool)
-        for j in range(length):
-            same &= ids[at + j] == flat[row, j]
-        at, items = at[same], items[same]
-        for j in range(length):
-            hit[at + j] = True
-        docs = np.searchsorted(starts, at, "right") - 1
-        for doc, item in set(zip(docs.tolist(), items.tolist(), strict=True)):
-            found[doc].add(item)
-
-    def _extend(self, ids, starts, hit, found, at, items, places) -> None:
-        done: dict[tuple[int, int], int] = {}
-        for p, item, q in zip(at.tolist(), items.tolist(), places.tolist(), strict=True):
-            if p < done.get((item, p - q), 0):
-                continue
-            words = self.texts[item]
-            ahead = ids[p : p + len(words) - q] != words[q : q + len(ids) - p]
-            end = p + (int(ahead.argmax()) if ahead.any() else len(ahead))
-            back = min(p, q)
-            behind = (ids[p - back : p] != words[q - back : q])[::-1]
-            first = p - (int(behind.argmax()) if behind.any() else back)
-            done[item, p - q] = max(end, p + 1)
-            if end - first >= self.span:
-                hit[first:end] = True
-                found[int(np.searchsorted(starts, p, "right")) - 1].add(item)
-
-
-@lru_cache(maxsize=LIVE_BLOCKS)
-def _index(block: Broadcast, span: int) -> BlockIndex:
-    return BlockIndex(block.value, span)
-
-
-def blocks_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Broadcast]:
-    """The benchmark as broadcast blocks of bounded size: (ids, words joined by spaces) of each distinct item."""
-    sent, items, size = [], {}, 0
-    context = benchmark.sparkSession.sparkContext
-
-    def send():
-        sent.append(context.broadcast([(sorted(names), text) for text, names in items.items()]))
-        items.clear()
-
-    rows = benchmark.select(benchmark[id_col].cast("string").alias("i"), benchmark[text_col].alias("t")).where("t is not null")
-    for name, text in rows.toLocalIterator():
-        words = b" ".join(w for w in words_of(text) if w).decode("utf-8", "surrogatepass")
-        if not words:
-            continue
-        if words not in items:
-            size += len(words)
-        items.setdefault(words, set()).update([] if name is None else [name])
-        if size > BLOCK_BYTES:
-            send()
-            size = 0
-    if items:
-        send()
-    return sent
-
-
-def _meet(texts: list[str | None], blocks: list[Broadcast], span: int) -> Iterator[tuple[int, int, set[str]]]:
-    """(words, hit words, ids of items that occur) of each text."""
-    split = [[w for w in words_of(t or "") if w] for t in texts]
-    starts = np.concatenate([[0], np.cumsum([len(w) + 1 for w in split])]).astype(np.int64)
-    hit, names = np.zeros(int(starts[-1]) + 1, bool), [set() for _ in texts]
-    for block in blocks:
-        index = _index(block, span)
-        known = index.vocabulary.get
-        ids, found = np.zeros(int(starts[-1]) + 1, np.uint64), [set() for _ in texts]
-        for words, first in zip(split, starts.tolist(), strict=False):
-            ids[first : first + len(words)] = np.fromiter((known(w, 0) for w in words), np.uint64, len(words))
-        index.mark(ids, starts, hit, found)
-        for mine, here in zip(names, found, strict=True):
-            for item in here:
-                mine.update(index.names[item])
-    for words, first, mine in zip(split, starts.tolist(), names, strict=False):
-        yield len(words), int(hit[first : first + len(words)].sum()), mine
+    ends = np.concatenate([[0], np.cumsum(ids == 0)])
+    return np.flatnonzero(ends[k:] == ends[: len(ids) - k + 1])
 
 
-def mark_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256 and contaminated of each document row."""
-    blocks = blocks_of(benchmark, item_col)
-
-    def start():
-        def work(texts):
-            n, hit, names = zip(*_meet(texts, blocks, span), strict=True) if texts else ((), (), ())
-            digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
-            made = {"n_words": n, "n_hit": hit, "n_items": [len(x) for x in names]}
-            made = {k: pa.array(v, pa.int64()) for k, v in made.items()}
-            return made | {"items_sha256": pa.array(digest, pa.string()), "contaminated": pc.greater(made["n_hit"], 0)}
+def fingerprints(ids: np.ndarray, at: np.ndarray, span: int) -> np.ndarray:
+    """The least gram hash of the window at each place."""
+    if not len(at):
+        return np.empty(0, np.uint64)
+    n = len(ids) - GRAM + 1
+    grams = np.zeros(n, np.uint64)
+    for j in range(GRAM):
+        grams = grams * _STEPS[0] + ids[j : j + n]
+    grams = _mixed(grams)
+    least = grams[: len(ids) - span + 1].copy()
+    for j in range(1, span - GRAM + 1):
+        np.minimum(least, grams[j : j + len(least)], out=least)
+    return least[at]
+
+
+def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.uint64(64 * len(bits) - 1)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+class Seen:
+    """What may be in a benchmark: its lengths of short items, and bit maps of fingerprints and windows."""
+
+    def __init__(self, span: int, lengths: list[int], prints: np.ndarray, windows: np.ndarray):
+        self.span, self.lengths, self.prints, self.windows = span, lengths, prints, windows
+
+    def candidates(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(place, words, hash, second hash) of the windows that may be in the benchmark."""
+        made = []
+        for length in self.lengths:
+            at = whole_runs(ids, length)
+            if length == self.span and len(at):
+                prints = fingerprints(ids, at, self.span)
+                new = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
+                at = at[np.repeat(_in(self.prints, prints[new]), np.diff([*new.tolist(), len(at)]))]
+            hashes = run_hashes(ids, at, length, _STEPS[0])
+            kept = _in(self.windows, hashes)
+            at, hashes = at[kept], hashes[kept]
+            made.append((at, np.full(len(at), length), hashes, run_hashes(ids, at, length, _STEPS[1])))
+        return tuple(np.concatenate(x) for x in zip(*made, strict=True)) if made else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def windows_of(benchmark: DataFrame, span: int, item_col: str, text_col: str) -> DataFrame:
+    """(item, n, w, v, print) of every window of every item, written out."""
+    with_checkpoints(benchmark.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            for name, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids, _, (n,) = hashes.of([text])
+                if n:
+                    k = min(int(n), span)
+                    at = whole_runs(ids, k)
+                    prints = fingerprints(ids, at, span) if k == span else np.zeros(len(at), np.uint64)
+                    columns = [pa.array([name] * len(at), pa.string()), pa.array(np.full(len(at), k), pa.int32()), _signed(run_hashes(ids, at, k, _STEPS[0])), _signed(run_hashes(ids, at, k, _STEPS[1])), _signed(prints)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["item", "n", "w", "v", "print"])
+
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "item string, n int, w long, v long, print long").distinct().checkpoint()
+
+
+def _bit_map(hashes: DataFrame) -> np.ndarray:
+    """The bit map of a column `h`: at most FILTER_BITS / 64 numbers reach the driver."""
+    place = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    words = hashes.groupBy(F.shiftrightunsigned(place, 6).alias("i")).agg(F.bit_or(bit).alias("x")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("i").to_numpy()] = words.column("x").to_numpy()
+    return bits.view(np.uint64)
+
+
+def _seen(windows: DataFrame, span: int) -> Seen:
+    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())
+    return Seen(span, lengths, _bit_map(windows.where(F.col("n") == span).select(F.col("print").alias("h"))), _bit_map(windows.select(F.col("w").alias("h"))))
+
+
+def _marks(docs: DataFrame, keep: list[str], text_col: str, seen: Seen) -> DataFrame:
+    """`keep`, n_words and the candidates of each text; map-only."""
+    sent = docs.sparkSession.sparkContext.broadcast(seen)
+
+    def start() -> Callable:
+        hashes = _Hashes()
+
+        def work(texts: list[str | None]) -> dict:
+            ids, starts, n = hashes.of(texts)
+            at, length, w, v = sent.value.candidates(ids)
+            order = np.argsort(at, kind="stable")
+            at, length, w, v = at[order], length[order], w[order], v[order]
+            doc = np.searchsorted(starts, at, "right") - 1
+            ends = np.searchsorted(doc, np.arange(len(texts) + 1), "left")
+            made = pa.StructArray.from_arrays([pa.array(at - starts[doc]), pa.array(length, pa.int32()), _signed(w), _signed(v)], names=["at", "n", "w", "v"])
+            return {"n_words": pa.array(n), "windows": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)}
 
         return work
 
-    kind = dict(docs.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return map_texts(docs, [id_col], text_col, schema, start)
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "n_words long, windows array<struct<at: long, n: int, w: long, v: long>>"])
+    return map_texts(docs, keep, text_col, schema, start)
+
+
+def _whole(windows: DataFrame) -> DataFrame:
+    """The distinct windows (w, v) with their class: a number that windows with the same items share."""
+    named = F.col("item").isNotNull()
+    same = windows.groupBy("w", "v").agg(*(F.sum(F.when(named, F.xxhash64("item", F.lit(i)).cast("decimal(20,0)"))).alias(f"s{i}") for i in (0, 1)), F.count("item").alias("items"))
+    return same.select("w", "v", F.when(F.col("items") > 0, F.xxhash64("s0", "s1", "items")).alias("class"))
+
+
+def mark_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """id, n_words, n_hit, n_items, items_sha256 and contaminated of each document row."""
+    windows = windows_of(benchmark, span, item_col, "text")
+    whole = _whole(windows).checkpoint()
+    items = windows.join(whole, ["w", "v"]).where("class is not null and item is not null").select("class", "item").distinct()
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = _marks(named, ["id"], "text", _seen(windows, span)).withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    asked = rows.where("size(windows) > 0").select("row", F.explode("windows").alias("x")).select("row", "x.*")
+    hits = asked.join(F.broadcast(whole) if whole.count() <= BROADCAST_WINDOWS else whole, ["w", "v"])
+    # Places in order; each covers what those before it have not.
+    spans = F.sort_array(F.collect_set(F.struct("at", (F.col("at") + F.col("n")).alias("end"))))
+    begin = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    add = lambda s, x: F.struct(F.greatest(s["end"], x["end"]).alias("end"), (s["n"] + F.greatest(F.lit(0).cast("long"), x["end"] - F.greatest(s["end"], x["at"]))).alias("n"))
+    covered = hits.groupBy("row").agg(spans.alias("spans")).select("row", F.aggregate("spans", begin, add)["n"].alias("n_hit"))
+    names = hits.where("class is not null").select("row", "class").distinct().join(items, "class")
+    names = names.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("names"))
+    made = rows.select("row", "id", "n_words").join(covered, "row", "left").join(names, "row", "left")
+    n_hit, found = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("names", F.array().cast("array<string>"))
+    return made.select(
+        F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"), F.sha2(F.array_join(found, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """The rows in which no benchmark window occurs, as they are."""
-    blocks = blocks_of(benchmark, item_col)
-    return filter_rows(docs, text_col, lambda: lambda texts: [hit == 0 for _, hit, _ in _meet(texts, blocks, span)])
+    """The rows in which no benchmark window occurs, as they are.
+
+    With a benchmark of BROADCAST_WINDOWS at most this is map-only; with a larger one the texts in which windows occur are
+    found by a join, and rows with the hash of such a text go.
+    """
+    windows = windows_of(benchmark, span, item_col, "text")
+    whole, seen = windows.select("w", "v").distinct(), _seen(windows, span)
+    if whole.count() <= BROADCAST_WINDOWS:
+        table = whole.toArrow()
+        pairs = np.stack([table.column(c).to_numpy() for c in ("w", "v")], axis=1)
+        sent = docs.sparkSession.sparkContext.broadcast((seen, pairs[np.lexsort(pairs.T)]))
+
+        def start():
+            hashes, (seen, pairs) = _Hashes(), sent.value
+            known = set(map(tuple, pairs.tolist()))
+
+            def accepts(texts):
+                ids, starts, _ = hashes.of(texts)
+                at, _, w, v = seen.candidates(ids)
+                real = np.fromiter((x in known for x in zip(w.view(np.int64).tolist(), v.view(np.int64).tolist(), strict=True)), bool, len(at))
+                clean = np.ones(len(texts), bool)
+                clean[np.searchsorted(starts, at[real], "right") - 1] = False
+                return clean.tolist()
+
+            return accepts
+
+        return filter_rows(docs, text_col, start)
+    keys = fresh(docs.columns, ["key", "key2"])
+    made_of = [F.xxhash64(text_col).alias(keys[0]), F.xxhash64(F.col(text_col), F.lit(1)).alias(keys[1])]
+    texts = docs.select(*made_of, F.col(text_col).alias("text")).toDF("key", "key2", "text")
+    asked = _marks(texts, ["key", "key2"], "text", seen).where("size(windows) > 0").select("key", "key2", F.explode("windows").alias("x")).select("key", "key2", "x.w", "x.v").distinct()
+    bad = asked.join(whole, ["w", "v"], "left_semi").select("key", "key2").distinct().toDF(*keys)
+    return docs.select("*", *made_of).join(bad, keys, "left_anti").select(*docs.columns)
 
 
 #: The words, windows and hits of the contract, spelled out for DuckDB.

@@ -51,11 +51,25 @@ def test_equals_brute_force(spark):
         check(spark, *made(seed, vocabulary=2 + seed))
 
 
-def test_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 150)
+def test_large_benchmarks_are_joined(spark, monkeypatch):
+    """More windows than are broadcast, and bit maps that let most windows pass."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 3)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 64)
     docs, items = made(9)
-    assert len(decontaminate.blocks_of(spark.createDataFrame(items, "item_id long, text string"))) > 3
     check(spark, docs, items)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = drop_contaminated(awkward(spark, docs + docs[:5]), bench).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(d[0] for d in docs + docs[:5] if not brute(d[1], items)[-1])
+
+
+def test_one_passage_in_many_items_and_documents(spark):
+    """Rows grow with hits, not with hits times items."""
+    passage = " ".join(f"p{i}" for i in range(14))
+    items = [(i, f"x{i} {passage} y{i}") for i in range(400)]
+    docs = [(i, f"a{i} {passage} b{i}" if i % 3 else f"c{i}", "en", "s", 0) for i in range(600)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in mark_contaminated(awkward(spark, docs), bench).collect()}
+    assert got == {i: (14, 400) if i % 3 else (0, 0) for i in range(600)}
 
 
 def test_awkward_rows(spark):
