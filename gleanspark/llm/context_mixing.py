@@ -1,27 +1,31 @@
 """Language-model scores by logistic context mixing of bit predictors.
 
 Tokens are words with A-Z lower-cased, then one end. A word among the HEAD most frequent training words, met twice or more, is
-a path of bits in a Huffman code; any other is the path of an escape and then its bytes, bit by bit. Each bit
-is predicted in several contexts, whatever its depth: the code's node alone; hashed with the word before, with both
-words before, with the endings of both; for bytes, hashed with the two, three or five bytes before in the word. A further
-predictor follows the last place in the same document where the two words before stood, and so adapts as the
-document is read. Predictions are log-odds, added with weights that a gate picks by depth and by how long that
-last predictor has been right; a final table by gate and prediction refines the result. Every step depends on
-earlier words only, so the bits' probabilities multiply to the text's.
-
-What is learned covers every training document (crc32 of the id not 0 modulo 10): word counts, and for each
-hashed context how often a bit was 0 and 1. Partitions add up tables of fixed size and send them in compressed
-segments, which are summed by segment. The trust in the in-document predictor is counted along. The weights and
-the gate's table are then fitted to all training documents too: each task makes one online pass over its own, a
-group of documents at a time (about a LEARN_SHARE-th of all text, at most LEARN_BYTES, one document at least) whose
-own counts are left out; the tasks' weights are averaged by the bits that each gate has seen, their tables added.
+a path of bits in a Huffman code; any other is the path of an escape. Each bit is predicted in several contexts,
+whatever its depth: the code's node alone; hashed with the word before, with both words before, with the endings of both.
+A further predictor follows the last place in the same document where the two words before stood, and so adapts as
+the document is read. Predictions are log-odds, added with weights that a gate picks by depth and by how long that
+last predictor has been right; a final table by gate and prediction refines the result. How far the contexts are trusted
+against the nodes alone follows, token by token, from how both did for the last RECENT tokens of the same document.
+
+After an escape, a word is one that was met before, as likely as its share of such training words, or is spelled byte by
+byte, each bit mixed in the same way from contexts of two, three and five bytes. And before words are read one
+by one, a whole piece of about 16 words can be foretold by what followed the last words in other documents (see
+`passages`). Every step depends on earlier words only, so probabilities multiply to the text's, and those of all texts add up to 1 at most.
+
+What is learned covers every training document (crc32 of the id not 0 modulo 10). The counts of words and the table of
+passages are exact, grow with the input and are joined. The hashed contexts share 2^TABLE_BITS slots a table, whatever the
+input: they are for what is frequent. Tasks, COUNTING_TASKS for each core, add up tables and send them in compressed segments,
+which are summed by segment. The mixers are then fitted to all training documents in one online pass by task, each
+bit predicted from the counts of all others; the tasks' weights are averaged by the bits that each gate has seen, their
+tables added. A training document does not count for itself in passages nor in words outside the head.
 
 The base score needs every word's exact count: those of the HEAD words go to all tasks, a bounded table; the
-rare rest is joined by word.
+rest is joined by word.
 
 Edge cases: a null text counts as empty: one token, the end; a null id is not held out; repeated rows and ids
 keep their rows; without training documents every word is unknown and bits are as good as even; an empty table
-gives an empty result; extra columns are ignored.
+gives an empty result; extra columns are ignored; words of one class of counts enter the head together or not at all.
 """
 
 from __future__ import annotations
@@ -40,24 +44,30 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.arrowmap import map_texts, slices, trim
 from gleanspark.llm.components import with_checkpoints
+from gleanspark.llm.passages import Pieces, chances, predictions
 
 FOLDS, HELD_OUT = 10, 0
 HEAD = 1 << 17
-TABLE_BITS = 20
+TABLE_BITS = 22
 WORD_TABLES, BYTE_TABLES = ("before", "two", "endings"), ("bytes2", "bytes3", "bytes5")
 TABLES = (*WORD_TABLES, *BYTE_TABLES)
 #: The name under which the follower's counts travel with the tables.
 TRUST = "trust"
-SEGMENT = 1 << 14
-LEARN_SHARE, LEARN_BYTES, LEARN_TOGETHER, LEARN_BITS = 200, 1_000_000, 8, 1 << 21
+SEGMENT = 1 << 16
+#: Tasks for each core that count tables; every task sends tables of a fixed size.
+COUNTING_TASKS = 2
 CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
 SLICE_BYTES = 3_000_000
 _ONE = np.uint32(1)
+#: Counts from which the mixers learn are kept in so many bits each; greater pairs are scaled down alike.
+LEARN_MOST = (1 << 16) - 1
 #: Log-odds are kept as whole numbers of this fraction, so that tables stay near the processor.
 ODDS_STEP = np.float32(1 / 12)
 DEPTHS, RUNS, BUCKETS, LIMIT, FINE = 16, 5, 33, 16, 16
+#: Tokens of a document by which the contexts are trusted, and how much one of them counts at most.
+RECENT, MOST_AHEAD = 16, 6.0
 _MIX = np.uint32(0x9E3779B1)
 
 
@@ -104,6 +114,8 @@ class Code:
     counts: np.ndarray
     total: int
     distinct: int
+    #: How many of the tokens outside the head are words that stand once.
+    once: int = 0
 
     def __post_init__(self):
         n = len(self.words)
@@ -129,9 +141,14 @@ class Code:
         ones = np.bincount(self.path, weight * self.bits, minlength=len(nodes))
         both = np.bincount(self.path, weight, minlength=len(nodes))
         self.plain = np.log((ones + 0.1) / (both - ones + 0.1)).astype(np.float32)
+        share = 1 / (1 + np.exp(-self.plain.astype(np.float64)))
+        #: log10 probability of each symbol by the nodes of its path alone.
+        self.alone = np.add.reduceat(np.log10(np.where(self.bits == 1, share[self.path], 1 - share[self.path])), self.at)
         self.number = {w: i for i, w in enumerate(self.words)}
         self.ending = np.array([_ending(w) for w in self.words] + [1, 2, 3], np.uint32)
         self.log_counts = np.log10(self.counts + 0.1)
+        #: How likely a word outside the head is one that was met before.
+        self.met = 1 - (self.once + 0.5) / (int(self.counts[-1]) + 1)
 
 
 def _ending(word: bytes) -> int:
@@ -217,6 +234,7 @@ class Stream:
             "two": ((names[one] + np.uint32(2)) * np.uint32(0x27D4EB2F)) ^ ((names[two] + np.uint32(3)) * np.uint32(0x165667B1)),
             "endings": ((endings[one] + np.uint32(5)) * np.uint32(0xB5297A4D)) ^ ((endings[two] + np.uint32(7)) * np.uint32(0x68E31DA4)),
         }
+        self.pieces = Pieces(names[token], names[one], names[two], self.first)
         self.run, self.shared = np.zeros(n, np.int16), None
         if follow:
             self._follow(np.repeat(np.arange(len(sizes)), sizes), one, two)
@@ -275,9 +293,9 @@ class Stream:
 
 
 class Spelling:
-    """Bits of distinct rare words, each closed by a space; `times` tells how often each one stands."""
+    """Bits of words spelled out, each closed by a space."""
 
-    def __init__(self, words: list[bytes], times: np.ndarray | None = None):
+    def __init__(self, words: list[bytes]):
         flat = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.uint32)
         sizes = np.array([len(w) + 1 for w in words], np.int64)
         self.first = np.cumsum(sizes) - sizes
@@ -291,7 +309,6 @@ class Spelling:
         self.order = np.argsort(inside.astype(np.int8), kind="stable")
         self.contexts = {f"bytes{j}": back[j][self.order] for j in (2, 3, 5)}
         self.flat, self.cuts = flat[self.order], np.concatenate([[0], np.cumsum(np.bincount(inside, minlength=4))])
-        self.times = np.ones(len(flat)) if times is None else np.repeat(times, sizes)[self.order]
 
     def columns(self):
         """All bits of all bytes; those at one place of a word (0, 1, 2, or later) and one depth at a time."""
@@ -339,7 +356,7 @@ def head_of(counts: DataFrame, limit: int = HEAD) -> Code:
     Words met once stay out: how often they stand is how often a word is new, which the escape has to learn.
     """
     rank = F.floor(F.log2("n") * 64)
-    total, distinct, ends = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
+    total, distinct, ends, once = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.count_if(F.col("word").isNotNull() & (F.col("n") == 1))).first()
     words = counts.where("word is not null and n > 1")
     sizes = words.groupBy(rank.alias("r")).count().orderBy(F.desc("r")).collect()
     least, held = None, 0
@@ -354,14 +371,14 @@ def head_of(counts: DataFrame, limit: int = HEAD) -> Code:
         kept = words.where(rank >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
         named = [w.encode() for w in kept.column("word").to_pylist()], kept.column("n").to_pylist()
     rest = (total or 0) - (ends or 0) - sum(named[1])
-    return Code(named[0], np.array([*named[1], ends or 0, rest], np.int64), total or 0, distinct)
+    return Code(named[0], np.array([*named[1], ends or 0, rest], np.int64), total or 0, distinct, once)
 
 
 class _Counts:
     """Tables of how often bits were 0 and 1 in each hashed context."""
 
     def __init__(self, names):
-        self.tables = {t: np.zeros(2 << TABLE_BITS, np.uint32 if t in WORD_TABLES else np.float64) for t in names}
+        self.tables = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in names}
         #: How often the follower was right and how often it guessed, by run.
         self.trust = np.zeros((2, RUNS))
         self.empty = True
@@ -371,17 +388,36 @@ class _Counts:
         for column in source.columns():
             if column.run:
                 self.trust[:, column.run] += np.count_nonzero(column.sign == 2 * column.bits - 1), np.count_nonzero(column.sign)
-            times = source.times[column.rows] if isinstance(source, Spelling) else _ONE
             for t, table in self.tables.items():
-                np.add.at(table, source.slots(t, column) * 2 + column.bits, times)
+                np.add.at(table, source.slots(t, column) * 2 + column.bits, _ONE)
 
     def out(self):
         if not self.empty:
             yield from _packed({(t, i): x[at : at + SEGMENT] for t, x in self.tables.items() for i, at in enumerate(range(0, 2 << TABLE_BITS, SEGMENT))} | {(TRUST, 0): self.trust.ravel()})
 
 
-def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """For every hashed context, how often bits were 0 and 1: of words over all documents, of bytes over all rare words; the follower's trust."""
+class Tables(NamedTuple):
+    """The sums of all tasks: log-odds for scoring, pairs of counts for learning, the follower's trust."""
+
+    odds: dict[str, np.ndarray]
+    pairs: dict[str, np.ndarray]
+    trust: np.ndarray
+
+    @classmethod
+    def empty(cls) -> Tables:
+        size = 1 << TABLE_BITS
+        return cls({t: np.zeros(size, np.int8) for t in TABLES}, {t: np.zeros(size, np.uint32) for t in TABLES}, np.zeros((2, RUNS)))
+
+    def put(self, table: str, at: int, counts: np.ndarray) -> None:
+        """Takes counts of 0 and 1 in turn, from place `at` on."""
+        zero, one = counts[0::2].astype(np.float64), counts[1::2].astype(np.float64)
+        self.odds[table][at : at + len(zero)] = np.clip(np.rint(np.log((one + 0.3) / (zero + 0.3)) / ODDS_STEP), -127, 127)
+        scale = np.maximum(np.maximum(zero, one) / LEARN_MOST, 1)
+        self.pairs[table][at : at + len(zero)] = (zero / scale).astype(np.uint32) | (one / scale).astype(np.uint32) << np.uint32(16)
+
+
+def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast) -> Tables:
+    """For every hashed context, how often bits were 0 and 1: of words over all documents, of bytes over all distinct rare words."""
 
     def of_texts(batches):
         counted = _Counts(WORD_TABLES)
@@ -395,51 +431,56 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
     def of_words(batches):
         counted, known = _Counts(BYTE_TABLES), code.value.number
         for batch in batches:
-            words, times = (batch.column(c).to_pylist() for c in ("word", "n"))
-            rare = [(w, n) for w, n in zip((w.encode() for w in words), times, strict=True) if w not in known]
+            rare = [w for w in (w.encode() for w in batch.column("word").to_pylist()) if w not in known]
             if rare:
-                counted.add(Spelling([w for w, _ in rare], np.array([n for _, n in rare], float)))
+                counted.add(Spelling(rare))
         yield from counted.out()
+        del counted
+        trim()
 
     def total(batches):
         sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
             for t, i, data in zip(*(batch.column(c).to_pylist() for c in ("t", "segment", "data")), strict=True):
                 part = np.frombuffer(zlib.decompress(data), np.float64 if t == TRUST else np.uint32)
-                sums[t, i] = part.astype(np.float64) if (t, i) not in sums else sums[t, i] + part
-        yield from _packed(sums)
+                if (t, i) in sums:
+                    sums[t, i] += part
+                else:
+                    sums[t, i] = part.astype(np.float64)
+        yield from _packed({k: v if k[0] == TRUST else v.astype(np.float32) for k, v in sums.items()})
 
     schema = "t string, segment int, data binary"
-    # Every task sends a table, so a few words each would not pay.
-    tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    made = docs.select(text_col).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").coalesce(tasks).mapInArrow(of_words, schema))
+    tasks = COUNTING_TASKS * docs.sparkSession.sparkContext.defaultParallelism
+    made = docs.select(text_col).coalesce(tasks).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").select("word").coalesce(max(1, tasks // 8)).mapInArrow(of_words, schema))
     summed = made.repartition("t", "segment").mapInArrow(total, schema).toArrow()
-    tables, trust = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}, np.zeros((2, RUNS))
+    tables = Tables.empty()
     for t, i, data in zip(*(summed.column(c) for c in ("t", "segment", "data")), strict=True):
+        raw = zlib.decompress(data.as_py())
         if t.as_py() == TRUST:
-            trust = np.frombuffer(zlib.decompress(data.as_py()), np.float64).reshape(2, RUNS)
-            continue
-        at = i.as_py() * SEGMENT
-        tables[t.as_py()][at : at + SEGMENT] = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
-    return tables, trust
+            tables.trust[:] = np.frombuffer(raw, np.float64).reshape(2, RUNS)
+        else:
+            tables.put(t.as_py(), i.as_py() * SEGMENT // 2, np.frombuffer(raw, np.float32))
+    return tables
 
 
 def _packed(segments: dict):
     items = [(k, v) for k, v in segments.items() if v.any()]
-    for at in range(0, len(items), 64):
-        some = items[at : at + 64]
+    for at in range(0, len(items), 16):
+        some = items[at : at + 16]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.int32()), pa.array([zlib.compress((v if k[0] == TRUST else np.minimum(v, 2**32 - 1).astype(np.uint32)).tobytes(), 1) for k, v in some], pa.binary())],
+            [pa.array([k[0] for k, _ in some], pa.string()), pa.array([k[1] for k, _ in some], pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for _, v in some], pa.binary())],
             names=["t", "segment", "data"],
         )
 
 
-def _odds(zero, one) -> np.ndarray:
-    return np.log((one + 0.3) / (zero + 0.3)).astype(np.float32)
+#: Log of the counts that pairs can have, a little above.
+_LOGS = np.log(np.arange(LEARN_MOST + 1) + 0.3).astype(np.float32)
 
 
-def _kept(odds: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(odds / ODDS_STEP), -127, 127).astype(np.int8)
+def _others(pairs: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Log-odds from pairs of counts, each without its own bit."""
+    zero, one = (pairs & np.uint32(LEARN_MOST)).astype(np.int32), (pairs >> np.uint32(16)).astype(np.int32)
+    return _LOGS.take(one - bits, mode="clip") - _LOGS.take(zero - 1 + bits, mode="clip")
 
 
 class Mixer:
@@ -471,25 +512,26 @@ class Mixer:
         p = 0.5 / (1 + np.exp(-x)) + 0.5 * own
         return np.log10(np.stack([1 - p, p], axis=-1)).astype(np.float32).ravel()
 
-    def learn(self, inputs: list[np.ndarray], gate: np.ndarray, bits: np.ndarray, rate: float = 0.02, size: int = 2048) -> None:
-        """One online pass, in steps of `size` bits."""
-        gates = self.weights.shape[1]
-        for a in range(0, len(gate), size):
-            g, y = gate[a : a + size], bits[a : a + size]
-            part = [v[a : a + size] for v in inputs]
-            x = self.sum(part, g)
-            error = y - 1 / (1 + np.exp(-x))
-            n = np.sqrt(np.maximum(np.bincount(g, minlength=gates), 1))
-            self.bias += 0.1 * rate * np.bincount(g, error, minlength=gates) / n
+    def learn(self, inputs: list[np.ndarray], gate: int, bits: np.ndarray, rate: float = 0.02, size: int = 2048) -> None:
+        """One online pass over bits of one gate, in steps of `size`."""
+        w, last = self.weights[:, gate].copy(), BUCKETS - 1.001
+        for a in range(0, len(bits), size):
+            y, part = bits[a : a + size].astype(np.float32), [v[a : a + size] for v in inputs]
+            x = np.full(len(y), self.bias[gate], np.float32)
+            for weight, value in zip(w, part, strict=False):
+                x += weight * value
+            np.clip(x, -LIMIT, LIMIT, out=x)
+            error = (y - 1 / (1 + np.exp(-x))) * np.float32(rate / np.sqrt(len(y)))
+            self.bias[gate] += 0.1 * error.sum()
             for i, value in enumerate(part):
-                self.weights[i] += rate * np.bincount(g, error * value, minlength=gates) / n
-            place = np.clip(x * 2 + BUCKETS // 2, 0, BUCKETS - 1.001)
+                w[i] += error @ value
+            place = np.clip(x * 2 + BUCKETS // 2, 0, last)
             low = place.astype(np.int64)
             share = place - low
-            at = g * BUCKETS + low
-            for cell, w in ((at, 1 - share), (at + 1, share)):
-                self.seen += np.bincount(cell, w, minlength=gates * BUCKETS).reshape(self.seen.shape)
-                self.ones += np.bincount(cell, w * y, minlength=gates * BUCKETS).reshape(self.seen.shape)
+            for cell, weight in ((low, 1 - share), (low + 1, share)):
+                self.seen[gate] += np.bincount(cell, weight, minlength=BUCKETS)
+                self.ones[gate] += np.bincount(cell, weight * y, minlength=BUCKETS)
+        self.weights[:, gate] = w
 
     def rows(self, bits: np.ndarray) -> np.ndarray:
         """What was learned from so many bits by gate, a row each; rows of several passes add up."""
@@ -527,74 +569,59 @@ class Model:
             total[column.rows] += mixer.costs(mixer.sum(self.inputs(source, column, look), column.gate), column.gate, column.bits)
         out = np.empty(len(total))
         out[source.order] = total
-        return out
+        return self.weighed(source, out) if isinstance(source, Stream) else out
+
+    @staticmethod
+    def weighed(stream: Stream, mixed: np.ndarray) -> np.ndarray:
+        """log10 of the mean of each token's mixed probability and that of its path alone, weighed by how well both did for the last RECENT tokens of the document."""
+        alone = stream.code.alone[stream.symbol]
+        ahead = np.concatenate([[0.0], np.cumsum(np.clip((mixed - alone) * np.log(10), -MOST_AHEAD, MOST_AHEAD))])
+        at = np.arange(len(mixed))
+        since = ahead[at] - ahead[np.maximum(np.repeat(stream.first, stream.sizes), at - RECENT)]
+        trust = 1 / (1 + np.exp(-since))
+        return np.log10((1 - trust) * 10**alone + trust * 10**mixed)
 
     def spellings(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word's bytes."""
         spelling = Spelling(words)
         return np.add.reduceat(self.costs(spelling), spelling.first)
 
-    def scores(self, stream: Stream, memo: dict[bytes, float]) -> np.ndarray:
-        """log10 probability of each document of a stream; `memo` keeps what words cost to spell."""
-        costs = self.costs(stream)
-        if stream.rare:
-            if new := [w for w in stream.rare if w not in memo]:
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                    new = stream.rare
-                memo.update(zip(new, self.spellings(new).tolist(), strict=True))
-            words = np.fromiter(map(memo.__getitem__, stream.rare), np.float64, len(stream.rare))
-            rare = np.flatnonzero(stream.token > stream.code.start)
-            costs[rare] += words[stream.token[rare] - stream.code.start - 1]
-        return np.add.reduceat(costs, stream.first)
+    def spelled(self, words: list[bytes], memo: dict[bytes, float]) -> list[float]:
+        """`spellings`, of which `memo` keeps some."""
+        if new := [w for w in words if w not in memo]:
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+                new = words
+            memo.update(zip(new, self.spellings(new).tolist(), strict=True))
+        return [memo[w] for w in words]
 
 
 class Learner:
-    """One online pass of the mixers over training documents, each group without its own counts."""
+    """One online pass of the mixers over training documents; each bit is predicted from the counts of all others."""
 
-    def __init__(self, code: Code, tables: dict[str, np.ndarray], trust: np.ndarray):
-        self.model, self.tables = Model(code, {}, trust), tables
-        self.own = {t: np.zeros(2 << TABLE_BITS, np.uint32) for t in TABLES}
+    def __init__(self, code: Code, tables: Tables):
+        self.model, self.pairs = Model(code, tables.odds, tables.trust), tables.pairs
         self.bits = {kind: np.zeros(m.weights.shape[1]) for kind, m in self.model.mixers.items()}
 
     def add(self, texts: list[str | None]) -> None:
         stream = Stream(self.model.code, texts)
-        self._learn("words", WORD_TABLES, stream)
+        self._learn("words", stream)
         if stream.rare:
-            # Each place of a rare word counts.
+            # Each place of a rare word counts; its spelling was counted once.
             at = stream.token[stream.token > stream.code.start] - stream.code.start - 1
-            self._learn("bytes", BYTE_TABLES, Spelling([stream.rare[i] for i in at.tolist()]))
+            self._learn("bytes", Spelling([stream.rare[i] for i in at.tolist()]))
 
-    def _learn(self, kind: str, names: tuple[str, ...], source) -> None:
-        for t in names:
-            self.own[t].fill(0)
-        for column in source.columns():
-            for t in names:
-                np.add.at(self.own[t], source.slots(t, column) * 2 + column.bits, _ONE)
-        held, size = [], 0
+    def _learn(self, kind: str, source) -> None:
+        mixer, seen = self.model.mixers[kind], self.bits[kind]
         for column in source.columns():
-            made = self.model.inputs(source, column, self._look)
-            zeros = [np.zeros(len(column.bits), np.float32)] * (len(self.model.mixers[kind].weights) - len(made))
-            held.append(([*made, *zeros], np.broadcast_to(column.gate, len(column.bits)), column.bits))
-            size += len(column.bits)
-            if size > LEARN_BITS:
-                self._step(kind, held)
-                held, size = [], 0
-        self._step(kind, held)
-
-    def _look(self, t: str, slots: np.ndarray) -> np.ndarray:
-        zero, one = ((self.tables[t].take(cell) - np.minimum(self.own[t].take(cell), self.tables[t].take(cell))).astype(np.float32) for cell in (slots * 2, slots * 2 + 1))
-        return _odds(zero, one)
-
-    def _step(self, kind: str, held: list) -> None:
-        if held:
-            inputs, gates, bits = zip(*held, strict=True)
-            gate = np.concatenate(gates)
-            # Dealt out anew so that each step sees all gates.
-            order = np.random.default_rng(3).permutation(len(gate))
-            gate = gate[order]
-            self.bits[kind] += np.bincount(gate, minlength=len(self.bits[kind]))
-            self.model.mixers[kind].learn([np.concatenate(x)[order] for x in zip(*inputs, strict=True)], gate, np.concatenate(bits)[order].astype(np.float32))
+            inputs = self.model.inputs(source, column, lambda t, slots: _others(self.pairs[t].take(slots), column.bits))  # noqa: B023
+            if isinstance(column.gate, int):
+                parts = [(column.gate, slice(None))]
+            else:
+                parts = [(int(column.gate[at[0]]), at) for at in (np.flatnonzero(column.sign == 0), np.flatnonzero(column.sign)) if len(at)]
+            for gate, at in parts:
+                mixer.learn([x[at] for x in inputs], gate, column.bits[at])
+                seen[gate] += len(column.bits[at])
 
     def rows(self):
         """(kind, gate, numbers) of every gate that has seen a bit."""
@@ -603,9 +630,9 @@ class Learner:
             yield from ((kind, gate, rows[gate]) for gate in np.flatnonzero(self.bits[kind]).tolist())
 
 
-def _fitted(code: Code, tables: dict[str, np.ndarray], trust: np.ndarray, rows) -> Model:
+def _fitted(code: Code, tables: Tables, rows) -> Model:
     """The model whose mixers have learned the sums of `Learner.rows`."""
-    model = Model(code, {t: _kept(_odds(x[0::2].astype(float), x[1::2].astype(float))) for t, x in tables.items()}, trust)
+    model = Model(code, tables.odds, tables.trust)
     for kind, gate, row in rows:
         model.mixers[kind].take(gate, row)
     for mixer in model.mixers.values():
@@ -613,29 +640,27 @@ def _fitted(code: Code, tables: dict[str, np.ndarray], trust: np.ndarray, rows)
     return model
 
 
-def fit(code: Code, tables: dict[str, np.ndarray], texts: list[str]) -> Model:
-    """Learns the mixers from training texts in one pass, LEARN_TOGETHER at a time."""
-    counted = _Counts(())
-    groups = [texts[i : i + LEARN_TOGETHER] for i in range(0, len(texts), LEARN_TOGETHER)]
-    for group in groups:
-        counted.add(Stream(code, group))
-    learner = Learner(code, tables, counted.trust)
-    for group in groups:
-        learner.add(group)
-    return _fitted(code, tables, counted.trust, learner.rows())
+def fit(code: Code, counts: dict[str, np.ndarray], texts: list[str]) -> Model:
+    """Learns the mixers from training texts in one pass, with counts of 0 and 1 in turn by table."""
+    counted, tables, stream = _Counts(()), Tables.empty(), Stream(code, texts)
+    for t, x in counts.items():
+        tables.put(t, 0, x)
+    counted.add(stream)
+    tables.trust[:] = counted.trust
+    learner = Learner(code, tables)
+    learner.add(texts)
+    return _fitted(code, tables, learner.rows())
 
 
-def _learned(docs: DataFrame, text_col: str, code: Broadcast, tables: dict[str, np.ndarray], trust: np.ndarray) -> list[tuple[str, int, np.ndarray]]:
+def _learned(docs: DataFrame, text_col: str, code: Broadcast, tables: Tables) -> list[tuple[str, int, np.ndarray]]:
     """The sums of `Learner.rows` of one pass by task over all documents."""
     sent = docs.sparkSession.sparkContext.broadcast(tables)
-    # A word and its space have about six bytes.
-    group = min(LEARN_BYTES, code.value.total * 6 // LEARN_SHARE)
 
     def run(batches):
         learner = None
         for batch in batches:
-            for part in slices(batch, text_col, group):
-                learner = learner or Learner(code.value, sent.value, trust)
+            for part in slices(batch, text_col, SLICE_BYTES):
+                learner = learner or Learner(code.value, sent.value)
                 learner.add(part.column(text_col).to_pylist())
         yield from out(learner.rows() if learner else ())
         del learner
@@ -668,62 +693,98 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     counts = _counted(used, text_col).checkpoint()
     code = head_of(counts)
     sent = context.broadcast(code)
-    tables, trust = _tables(used, text_col, counts, sent)
-    model = _fitted(code, tables, trust, _learned(used, text_col, sent, tables, trust))
+    tables = _tables(used, text_col, counts, sent)
+    model = _fitted(code, tables, _learned(used, text_col, sent, tables))
     return counts, model
 
 
+#: What `_scored` makes of each text.
+_SCORED = (
+    "n_bytes long, n_tokens long, head_known long, head_base double, cost double, pieces array<struct<place: long, name: long, first: boolean, cost: double>>, "
+    "rest array<struct<piece: int, word: string, n: long, own: long, spelled: double>>"
+)
+
+
+def _scored(model: Model):
+    """A function from texts to their columns: sums over words of the head and bits, pieces, words outside the head by piece."""
+    end_known, memo = bool(model.code.counts[-2] > 0), {}
+
+    def work(texts: list[str | None]) -> dict:
+        code, stream = model.code, Stream(model.code, texts)
+        pieces = stream.pieces
+        costs = model.costs(stream)
+        rare = np.flatnonzero(stream.token > code.start)
+        is_rare = np.zeros(len(stream.token), bool)
+        is_rare[rare] = True
+        head = np.where(is_rare, 0, stream.token)
+        known = ~is_rare & ((head != code.end) | end_known)
+        # Words outside the head, once for each piece, with how often they stand in it and in the whole text.
+        word = stream.token[rare] - code.start - 1
+        pairs, times = np.unique(pieces.of[rare] << 32 | word, return_counts=True)
+        piece, word = pairs >> 32, pairs & 0xFFFFFFFF
+        whole, inverse = np.unique(pieces.doc[piece] << 32 | word, return_inverse=True)
+        own = np.bincount(inverse, times, len(whole)).astype(np.int64)[inverse]
+        begins = np.searchsorted(pieces.doc, np.arange(len(texts) + 1), "left")
+        spelled = np.array(model.spelled(stream.rare, memo))[word] if len(word) else np.empty(0)
+        words = pa.array(stream.rare, pa.binary()).cast(pa.string()).take(pa.array(word, pa.int64()))
+        rest = pa.StructArray.from_arrays(
+            [pa.array(piece - begins[pieces.doc[piece]], pa.int32()), words, pa.array(times, pa.int64()), pa.array(own, pa.int64()), pa.array(spelled, pa.float64())], names=["piece", "word", "n", "own", "spelled"]
+        )
+        made = pa.StructArray.from_arrays(
+            [pa.array(pieces.place.view(np.int64)), pa.array(pieces.name.view(np.int64)), pa.array(pieces.firsts()), pa.array(np.add.reduceat(costs, pieces.start))], names=["place", "name", "first", "cost"]
+        )
+        ends = np.searchsorted(pieces.doc[piece], np.arange(len(texts) + 1), "left")
+        return {
+            "n_bytes": pa.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
+            "n_tokens": pa.array(stream.sizes, pa.int64()),
+            "head_known": pa.array(np.add.reduceat(known, stream.first), pa.int64()),
+            "head_base": pa.array(np.add.reduceat(code.log_counts[head] * ~is_rare, stream.first), pa.float64()),
+            "cost": pa.array(np.add.reduceat(costs, stream.first), pa.float64()),
+            "pieces": pa.ListArray.from_arrays(pa.array(begins, pa.int32()), made),
+            "rest": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest),
+        }
+
+    return work
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row."""
     counts, model = train(docs, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     code = model.code
-    total, classes = code.total, code.distinct + 1
-    log_total = float(np.log10(total + 0.1 * classes))
-    end_known = bool(code.counts[-2] > 0)
-
-    def start():
-        model, memo = sent.value, {}
-
-        def work(texts):
-            stream = Stream(model.code, texts)
-            rare = stream.token > model.code.start
-            head = np.where(rare, 0, stream.token)
-            base = model.code.log_counts[head] * ~rare
-            known = ~rare & ((head != model.code.end) | end_known)
-            doc = np.repeat(np.arange(len(texts)), stream.sizes)[rare]
-            pairs, times = np.unique(doc << 32 | (stream.token[rare] - model.code.start - 1), return_counts=True)
-            words = pa.array(stream.rare, pa.binary()).cast(pa.string()).take(pa.array(pairs & 0xFFFFFFFF, pa.int64()))
-            held = pa.StructArray.from_arrays([words, pa.array(times, pa.int64())], names=["word", "n"])
-            ends = np.concatenate([[0], np.cumsum(np.bincount(pairs >> 32, minlength=len(texts)))])
-            scores = model.scores(stream, memo)
-            bytes_ = np.array([len((t or "").encode("utf-8", "surrogatepass")) for t in texts])
-            return {
-                "n_tokens": pa.array(stream.sizes, pa.int64()),
-                "head_known": pa.array(np.add.reduceat(known, stream.first), pa.int64()),
-                "head_base": pa.array(np.add.reduceat(base, stream.first), pa.float64()),
-                "score": pa.array(scores, pa.float64()),
-                "bits_per_byte": pa.array([-s / np.log10(2) / n if n else None for s, n in zip(scores.tolist(), bytes_.tolist(), strict=True)], pa.float64()),
-                "rest": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held),
-            }
-
-        return work
-
-    kind = dict(docs.dtypes)[id_col]
-    schema = f"`{id_col}` {kind}, n_tokens long, head_known long, head_base double, score double, bits_per_byte double, rest array<struct<word: string, n: long>>"
-    scored = map_texts(docs, [id_col], text_col, schema, start).withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-    rare = scored.select("_row", F.explode("rest").alias("r")).select("_row", "r.word", F.col("r.n").alias("times"))
-    rare = rare.join(counts, "word", "left").groupBy("_row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("rare_known")
+    log_total, outside = float(np.log10(code.total + 0.1 * (code.distinct + 1))), float(code.counts[-1])
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    scored = map_texts(named, ["id"], "text", f"id {dict(docs.dtypes)[id_col]}, {_SCORED}", lambda: _scored(sent.value))
+    held_out = F.coalesce(fold("id") == HELD_OUT, F.lit(False))
+    scored = scored.withColumn("held_out", held_out).withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    pieces = scored.select("row", (~F.col("held_out")).alias("taught"), F.posexplode("pieces").alias("piece", "p")).select("row", "piece", "taught", "p.*").where("place <> 0")
+    predicted = predictions(pieces).checkpoint()
+    likely = F.array(*(F.struct(F.lit(wrong).alias("wrong"), F.lit(right).alias("right")) for wrong, right in chances(predicted)))
+    chance = F.get(likely, F.col("class"))
+    chosen = F.when(F.col("right"), chance["right"] - F.col("cost")).otherwise(chance["wrong"])
+    none = F.lit(0.0)
+    rare = scored.select("row", "held_out", F.explode("rest").alias("r")).select("row", "held_out", "r.*").join(counts.withColumnRenamed("n", "met"), "word", "left")
+    met = F.coalesce("met", F.lit(0))
+    others = F.greatest(met - F.when(F.col("held_out"), 0).otherwise(F.col("own")), F.lit(0))
+    share = F.lit(code.met) * others / F.lit(max(1.0, outside)) + F.lit(1 - code.met) * F.pow(F.lit(10.0), F.col("spelled"))
+    # What is too unlikely for a double is taken as spelled.
+    spelled = F.col("n") * F.when(share > 0, F.log10(share)).otherwise(F.log10(F.lit(1 - code.met)) + F.col("spelled"))
+    rare = rare.select(
+        "row", "piece", F.lit(None).cast("boolean").alias("right"), none.alias("chosen"), spelled.alias("spelled"), (F.col("n") * F.log10(met + 0.1)).alias("base"), F.when(met > 0, F.col("n")).otherwise(0).alias("known")
     )
-    whole = scored.drop("rest").join(rare, "_row", "left")
+    both = rare.unionByName(predicted.select("row", "piece", "right", chosen.alias("chosen"), none.alias("spelled"), none.alias("base"), F.lit(0).cast("long").alias("known"))).repartition("row")
+    by_piece = both.groupBy("row", "piece").agg(F.coalesce(F.bool_or("right"), F.lit(False)).alias("right"), *(F.sum(c).alias(c) for c in ("chosen", "spelled", "base", "known")))
+    # The words of a piece that was predicted cost nothing of their own.
+    more = by_piece.groupBy("row").agg(F.sum(F.col("chosen") + F.when(F.col("right"), 0.0).otherwise(F.col("spelled"))).alias("more"), F.sum("base").alias("base"), F.sum("known").alias("known"))
+    whole = scored.drop("rest", "pieces").join(more, "row", "left")
+    score = F.col("cost") + F.coalesce("more", none)
     return whole.select(
-        id_col,
-        F.coalesce(fold(id_col) == HELD_OUT, F.lit(False)).alias("held_out"),
+        F.col("id").alias(id_col),
+        "held_out",
         "n_tokens",
-        (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(log_total)).alias("base_score"),
-        "score",
-        "bits_per_byte",
+        (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.lit(code.total).cast("long").alias("train_tokens"),
+        (F.col("head_base") + F.coalesce("base", none) - F.col("n_tokens") * F.lit(log_total)).alias("base_score"),
+        score.alias("score"),
+        F.when(F.col("n_bytes") > 0, -score / F.lit(float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"),
     )

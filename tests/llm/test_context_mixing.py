@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from fixtures import awkward
 
-from gleanspark.llm import context_mixing
+from gleanspark.llm import context_mixing, passages
 from gleanspark.llm.context_mixing import BYTE_TABLES, WORD_TABLES, Code, Spelling, Stream, fit, huffman_lengths, score_documents, words_of
 
 
@@ -53,8 +53,8 @@ def small(more=()):
     words, spelled = context_mixing._Counts(WORD_TABLES), context_mixing._Counts(BYTE_TABLES)
     words.add(Stream(code, texts, follow=False))
     rare = [(w, n) for w, n in counts.items() if w not in code.number]
-    spelled.add(Spelling([w for w, _ in rare], np.array([n for _, n in rare], float)))
-    return fit(code, {t: x.astype(np.uint32) for t, x in (words.tables | spelled.tables).items()}, texts), code
+    spelled.add(Spelling([w for w, _ in rare]))
+    return fit(code, words.tables | spelled.tables, texts), code
 
 
 def test_probabilities_add_up():
@@ -88,8 +88,8 @@ def test_follower_sees_the_past_only():
     model, code = small()
     a, b = (model.costs(Stream(code, [f"the cat sat on the cat {end}"])) for end in ("sat on a mat", "a a a a a"))
     assert np.allclose(a[:6], b[:6]) and np.isfinite(a).all()
-    alone = model.scores(Stream(code, ["a cat"]), {})[0]
-    assert math.isclose(model.scores(Stream(code, ["the dog sat", "a cat", "q"]), {})[1], alone, rel_tol=1e-5)
+    alone = model.costs(Stream(code, ["a cat"]))
+    assert np.allclose(model.costs(Stream(code, ["the dog sat", "a cat", "q"]))[4:7], alone, rtol=1e-5)
 
 
 def test_repetition_becomes_cheap():
@@ -147,3 +147,103 @@ def test_mixers_learn_from_every_training_document(spark):
     seen = {kind: m.seen.sum() - 4 * m.seen.size for kind, m in model.mixers.items()}
     assert math.isclose(seen["words"], code.lengths[stream.symbol].sum(), rel_tol=1e-6)
     assert spelled and math.isclose(seen["bytes"], 8 * sum(len(w) + 1 for w in spelled), rel_tol=1e-6)
+
+
+def plain_scores(rows, model):
+    """Scores by loops over documents, pieces and words; only bits are left to the model."""
+    code, memo = model.code, {}
+    parts, counts = {}, Counter()
+    for i, text in rows:
+        stream = Stream(code, [text])
+        costs, pieces = model.costs(stream), stream.pieces
+        words = [*words_of(text), None]
+        cuts = [*pieces.start.tolist(), len(words)]
+        parts[i] = [(int(pieces.place[k]), int(pieces.name[k]), words[a:b], sum(costs[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+        if not held_out(i):
+            counts.update(words)
+    followed: dict = {}
+    for i, _ in rows:
+        if not held_out(i):
+            for place, name in {p[:2] for p in parts[i] if p[0]}:
+                followed.setdefault(place, Counter())[name] += 1
+    signed = lambda x: x - 2**64 if x >> 63 else x
+
+    def events(i):
+        last = []
+        for k, (place, name, _, _) in enumerate(parts[i]):
+            best = sorted(((n, signed(s), s) for s, n in followed.get(place, {}).items()), reverse=True)[:2] if place else []
+            own = [(n - (not held_out(i) and s == name), -r, s) for r, (n, _, s) in enumerate(best)]
+            if not own or max(own)[0] < 1:
+                continue
+            n, _, s = max(own)
+            rival = len(own) > 1 and min(own)[0] > 0
+            run = 0
+            if last and last[-1] == (k - 1, True):
+                run = 2 if len(last) > 1 and last[-2] == (k - 2, True) else 1
+            last.append((k, s == name))
+            yield k, s == name, (min(n, 4), rival, run)
+
+    told = {i: list(events(i)) for i, _ in rows}
+    right, all_ = Counter(), Counter()
+    for i, _ in rows:
+        for _, ok, kind in told[i]:
+            if not held_out(i):
+                all_[kind] += 1
+                right[kind] += ok
+    out, outside = {}, float(code.counts[-1])
+    for i, _ in rows:
+        own, foretold, score = Counter(w for p in parts[i] for w in p[2]), {k: (ok, kind) for k, ok, kind in told[i]}, 0.0
+        for k, (_, _, words, cost) in enumerate(parts[i]):
+            ok, kind = foretold.get(k, (None, None))
+            if ok:
+                score += math.log10((right[kind] + 0.5) / (all_[kind] + 1))
+                continue
+            if ok is False:
+                score += math.log10((all_[kind] - right[kind] + 0.5) / (all_[kind] + 1))
+            score += cost
+            for w in words:
+                if w is not None and w not in code.number:
+                    others = max(0, counts[w] - (0 if held_out(i) else own[w]))
+                    score += math.log10(code.met * others / outside + (1 - code.met) * 10 ** model.spelled([w], memo)[0])
+        out[i] = score
+    return out
+
+
+def test_scores_equal_plain_loops(spark, monkeypatch):
+    """Passages, words outside the head and sums, on documents with copies, copies in part and repeats."""
+    monkeypatch.setattr(context_mixing.head_of, "__defaults__", (400,))
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(10_000 + i, t) for i, (_, t) in enumerate(rows[:60])] + [(20_000 + i, (t or "")[: len(t or "") // 2] + " " + (rows[i + 3][1] or "")) for i, (_, t) in enumerate(rows[:40])] + [(30_000, rows[5][1] * 2), (30_001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, model = context_mixing.train(docs)
+    monkeypatch.setattr(context_mixing, "train", lambda *a, plain=context_mixing.train: (plain(*a)[0], model))
+    got, want = {r.doc_id: r.score for r in score_documents(docs).collect()}, plain_scores(rows, model)
+    assert set(got) == set(want)
+    for i, score in want.items():
+        assert math.isclose(got[i], score, rel_tol=1e-6), i
+    assert len({r for r in got.values()}) > 200
+
+
+def test_copies_score_apart(spark):
+    """A document that occurs twice costs far less than it would alone; a document that occurs once does not count for itself."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 600").dropDuplicates(["text"])
+    chosen = [r.doc_id for r in docs.where("doc_id % 11 = 3").collect()]
+    twice = docs.unionByName(docs.where(docs.doc_id.isin(chosen)).withColumn("doc_id", docs.doc_id + 10**6))
+    once, more = ({r.doc_id: r.bits_per_byte for r in score_documents(d).collect()} for d in (docs, twice))
+    fell = [more[i] / once[i] for i in chosen if once[i] > 1]
+    assert len(fell) > 30 and np.quantile(fell, 0.9) < 0.6
+    others = [more[i] / once[i] for i in once if i not in chosen]
+    assert np.quantile(others, 0.1) > 0.9
+
+
+def test_pieces_are_cut_alike():
+    """Copies inside other texts have the same pieces, but for the first and the last."""
+    rng = np.random.default_rng(3)
+    _, code = small()
+    text = " ".join(f"w{x}" for x in rng.integers(0, 500, 400))
+    a, b = (Stream(code, [t]).pieces for t in (text, f"some other words first {text} and more"))
+    shared = set(zip(a.place.tolist(), a.name.tolist())) & set(zip(b.place.tolist(), b.name.tolist()))
+    assert len(shared) >= len(a.name) - 3 and len(a.name) > 10
+    assert a.start[0] == 0 and a.place[0] == 0 and (a.place[1:] != 0).all()
+    one = Stream(code, ["", None, "a"]).pieces
+    assert len(one.start) >= 3 and one.place[0] == one.place[1] == 0 and passages.CLASSES == 30
