@@ -1,4 +1,4 @@
-"""`python -m gleanspark CONFIG PAGES [SITEMAP]`: scrapes recorded pages into the run's folder."""
+"""`python -m gleanspark CONFIG PAGES [SITEMAP] [--robots ROBOTS]`: scrapes recorded pages into the run's folder."""
 
 from __future__ import annotations
 
@@ -19,15 +19,22 @@ def main(arguments: list[str] | None = None) -> str:
     parser.add_argument("config")
     parser.add_argument("pages", help="Parquet of url, html and, if there are, status and content_type")
     parser.add_argument("sitemap", nargs="?", help="Parquet of domain, sm_pos, url")
+    parser.add_argument("--robots", help="Parquet of domain, status, robots_txt")
     given = parser.parse_args(arguments)
     settings, began = load_config(given.config), time.time()
     spark = SparkSession.builder.appName("gleanspark").getOrCreate()
     logger = runlog.start(settings.output, settings.input.url_offset)
     pipeline, seeds, folder = build_pipeline(spark, settings)
-    for row in seeds.select("base_url").toLocalIterator():
+    read = lambda path: spark.read.parquet(path) if path else None
+    pages, robots = snapshots.pages_of(read(given.pages)), read(given.robots)
+    sitemap = read(given.sitemap)
+    trace = pipeline.crawler.trace(seeds, pipeline.visible(pages, robots)) if settings.crawl.max_visits > 0 else None
+    # Seeds are one slice of a list, url_max at most.
+    for row in runlog.visited(seeds, trace).toLocalIterator():
         runlog.trying(logger, row.base_url)
-    sitemap = spark.read.parquet(given.sitemap) if given.sitemap else None
-    pipeline.write(pipeline.run(seeds, snapshots.pages_of(spark.read.parquet(given.pages)), sitemap), folder)
+        if trace is not None:
+            runlog.visits(logger, row.visits, settings.crawl.max_visits)
+    pipeline.write(pipeline.run(seeds, pages, sitemap, robots, trace), folder)
     logger.info("Done in %s minutes, rows in %s", round((time.time() - began) / 60), folder)
     return folder
 

@@ -78,14 +78,29 @@ def join_one(base: str | None, reference: str | None) -> str | None:
         return None
 
 
+#: A page's url that roots are taken from as they stand, and references that join to it without further reading: absolute ones
+#: and such as start at the root, without dots at the start of a segment or characters that parsers take out.
+_PLAIN_BASE = r"^(https?://[A-Za-z0-9.\-]+(?::[0-9]+)?)(?:[/?#][^\s\[\]]*)?$"
+_PLAIN_ABSOLUTE = r"^https?://[A-Za-z0-9.\-]+(?::[0-9]+)?(?:/[A-Za-z0-9_~%+,=&\-]+(?:\.[A-Za-z0-9_~%+,=&\-]+)*)*/?(?:\?[A-Za-z0-9_.~%+,=&/\-]+)?(?:#[A-Za-z0-9_.~%+,=&/\-]+)?$"
+_PLAIN_ROOTED = r"^(?:/[A-Za-z0-9_~%+,=&\-]+(?:\.[A-Za-z0-9_~%+,=&\-]+)*)+/?(?:\?[A-Za-z0-9_.~%+,=&/\-]+)?(?:#[A-Za-z0-9_.~%+,=&/\-]+)?$"
+
+
 def absolute(base: Column, reference: Column) -> Column:
-    """A reference as an absolute url without trailing slashes; fragments stay."""
+    """A reference as an absolute url without trailing slashes; fragments stay.
+
+    Plain absolute references and plain ones from the root are joined in columns; only others go through Python.
+    """
 
     @F.pandas_udf("string")
     def joined(bases: pd.Series, references: pd.Series) -> pd.Series:
         return pd.Series([join_one(b, r) for b, r in zip(bases, references, strict=True)], dtype=object)
 
-    return trim_slashes(joined(base, reference))
+    plain_base, whole = base.rlike(_PLAIN_BASE), reference.rlike(_PLAIN_ABSOLUTE) & base.rlike(_PLAIN_BASE)
+    rooted = plain_base & reference.rlike(_PLAIN_ROOTED)
+    # What is joined in columns goes to Python as null.
+    rest = F.when(~F.coalesce(whole | rooted, F.lit(False)), reference)
+    made = F.when(whole, reference).when(rooted, F.concat(F.regexp_extract(base, _PLAIN_BASE, 1), reference)).otherwise(joined(F.when(rest.isNotNull(), base), rest))
+    return trim_slashes(made)
 
 
 def may_hop(start_domain: Column, parent_domain: Column, domain: Column) -> Column:

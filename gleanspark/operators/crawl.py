@@ -4,21 +4,23 @@ Which urls a crawl visits depends on the order in which it finds them, so the wa
 The loop runs in rounds over all seeds at once. In a round, each seed's walk is replayed on the pages
 fetched for it so far; when it needs a page that is not there yet, it asks for the AHEAD best of its
 queue, and all that is asked is joined to the links by url before the next round. A seed thus holds the
-links of the pages its visits need, never a whole site, and the number of rounds is about the number of
-visits divided by AHEAD.
+links of the pages its visits need, never a whole site, and a round settles one visit at least, AHEAD at best.
+
+Pages are parsed once: their links are written out first, one row a page and dealt by url, so that rounds join
+them as they lie. Each round writes only the pages that are new to a seed, and the trace is written once for all its readers.
 """
 
 from __future__ import annotations
 
 import heapq
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark import model
+from gleanspark.checkpoints import with_checkpoints
 from gleanspark.functions import urls
 from gleanspark.operators.fetch import with_target
 
@@ -75,14 +77,7 @@ class Walk:
 
 
 def _replayed(seed, fetched: pd.DataFrame, max_depth: int, max_visits: int) -> tuple[Walk, list[str]]:
-    links: dict = {}
-    for row in fetched.sort_values(["page_url", "link_pos"]).itertuples(index=False):
-        if row.url is None and row.missing:
-            links[row.page_url] = None
-        else:
-            known = links.setdefault(row.page_url, [])
-            if row.url is not None:
-                known.append((row.url, row.domain, row.hit, bool(row.unsupported)))
+    links = {url: None if there is None else [(x["url"], x["domain"], x["hit"], x["unsupported"]) for x in there] for url, there in zip(fetched["page_url"], fetched["links"], strict=True)}
     walk = Walk(seed.start_url, seed.start_domain, max_depth, max_visits)
     return walk, walk.run(links)
 
@@ -112,33 +107,32 @@ def _traced(max_depth, max_visits):
     return trace
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+def links_by_page(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """(page_url, links) of every page that can be fetched, its links in order; written out, dealt by url."""
+    with_checkpoints(pages.sparkSession)
+    found = F.sort_array(F.collect_list(F.struct("link_pos", "url", "domain", "hit", "unsupported")))
+    grouped = links.groupBy("page_url").agg(found.alias("links"))
+    there = pages.select(F.col("url").alias("page_url")).distinct()
+    none = F.array().cast(grouped.schema["links"].dataType)
+    return there.join(grouped, "page_url", "left").select("page_url", F.coalesce("links", none).alias("links")).repartition("page_url").checkpoint()
 
 
 def crawl(seeds: DataFrame, links: DataFrame, pages: DataFrame, max_depth: int = 2, max_visits: int = 200) -> DataFrame:
-    """Trace rows of every seed's crawl: its visits, the urls it has seen and its results, each numbered in order.
+    """Trace rows of every seed's crawl: its visits, the urls it has seen and its results, each numbered in order; written out.
 
     `links` are those of `page_links`, `pages` (url) the urls that can be fetched at all. Seeds walk alone:
     a seed listed twice walks twice.
     """
-    _checkpoints(seeds.sparkSession)
-    seeds = seeds.select("seed_pos", "start_url", "start_domain")
-    there = pages.select(F.col("url").alias("page_url")).distinct().withColumn("there", F.lit(True))
-    known = links.select("page_url", "link_pos", "url", "domain", "hit", "unsupported")
-    shape = "seed_pos long, page_url string, link_pos int, url string, domain string, hit string, unsupported boolean, missing boolean"
-    fetched = seeds.sparkSession.createDataFrame([], shape)
+    known = links_by_page(links, pages)
+    seeds = seeds.select("seed_pos", "start_url", "start_domain").checkpoint()
+    fetched = known.limit(0).select(F.lit(0).cast("long").alias("seed_pos"), "page_url", "links")
     ask, trace = _asked(max_depth, max_visits), _traced(max_depth, max_visits)
     while True:
         grouped = seeds.groupBy("seed_pos").cogroup(fetched.groupBy("seed_pos"))
         asked = grouped.applyInPandas(ask, "seed_pos long, page_url string").checkpoint()
         if asked.isEmpty():
-            return grouped.applyInPandas(trace, TRACE)
-        got = asked.join(there, "page_url", "left").join(known, "page_url", "left")
-        got = got.select("seed_pos", "page_url", "link_pos", "url", "domain", "hit", "unsupported", F.col("there").isNull().alias("missing"))
-        fetched = fetched.unionAll(got).checkpoint()
+            return grouped.applyInPandas(trace, TRACE).checkpoint()
+        fetched = fetched.unionAll(asked.join(known, "page_url", "left").select("seed_pos", "page_url", "links").checkpoint())
 
 
 def results_of(trace: DataFrame) -> DataFrame:
@@ -166,10 +160,3 @@ def sitemap_results(seeds: DataFrame, sitemap: DataFrame, keywords: list[str], s
     listed = with_target(listed.select("seed_pos", "sm_pos", "url"), keywords).where("hit <> ''")
     listed = listed.groupBy("seed_pos", "url", "hit").agg(F.min("sm_pos").alias("sm_pos"))
     return listed if seen is None else listed.join(seen.select("seed_pos", "url"), ["seed_pos", "url"], "left_anti")
-
-
-def extended(results: DataFrame, more: DataFrame) -> DataFrame:
-    """Crawl results, then those of the sitemap; `rank` (array) orders them within a seed."""
-    first = results.select("seed_pos", F.array(F.lit(0).cast("long"), "result_pos").alias("rank"), "url", "first_keyword_hit")
-    second = more.select("seed_pos", F.array(F.lit(1).cast("long"), "sm_pos").alias("rank"), "url", F.col("hit").alias("first_keyword_hit"))
-    return first.unionByName(second)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import lru_cache
+from urllib.parse import unquote
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +36,18 @@ def resolve_attempts(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
     return best.select("url", F.col("a.attempt").alias("attempt"), F.col("a.status").alias("status"), F.when(page, F.col("a.html")).alias("html"))
 
 
-@lru_cache(maxsize=256)
+#: Rules of one host for one agent: (whether it allows, beginning of the path), in order; the last one has every path.
+RULES = "array<struct<allows: boolean, path: string>>"
+#: Urls whose path and query robots rules compare as they are written.
+_PLAIN_URL = r"^https?://[A-Za-z0-9.\-:]*(?:/(?!/)[A-Za-z0-9_.~/\-]*)?(?:\?[A-Za-z0-9_.~/\-=&]+)?$"
+_PLAIN_PATH = re.compile(r"(?:/|%3F|%3D|%26|[A-Za-z0-9_.~\-])*")
+
+
 def _rules(status: int | None, text: str | None) -> RobotFileParser:
     parser = RobotFileParser()
     if status is not None and 200 <= status < 300:
         parser.parse((text or "").splitlines())
+        parser.modified()
     elif status in (401, 403):
         parser.disallow_all = True
     elif status is not None and 400 <= status < 500:
@@ -48,25 +57,90 @@ def _rules(status: int | None, text: str | None) -> RobotFileParser:
     return parser
 
 
+def _plain_rules(parser: RobotFileParser, useragent: str) -> list[tuple[bool, str]] | None:
+    """The agent's rules as beginnings of raw paths, the last for all the rest; None if they need decoding."""
+    if parser.allow_all or parser.disallow_all:
+        return [(parser.allow_all, "")]
+    entry = next((e for e in parser.entries if e.applies_to(useragent)), parser.default_entry)
+    made = []
+    for rule in entry.rulelines if entry else ():
+        if not _PLAIN_PATH.fullmatch(rule.path):
+            return None
+        if not rule.path:  # has every path, and always allows
+            break
+        made.append((rule.allowance, unquote(rule.path)))
+    return [*made, (True, "")]
+
+
+def robots_rules(robots: DataFrame, useragent: str) -> DataFrame:
+    """(domain, rules, status, robots_txt): each file parsed once; text is kept only for those whose rules need decoding."""
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column("status").to_pylist(), batch.column("robots_txt").to_pylist(), strict=True)
+            rules = [_plain_rules(_rules(s, t), useragent) for s, t in rows]
+            text = [t if r is None else None for r, t in zip(rules, batch.column("robots_txt").to_pylist(), strict=True)]
+            made = pa.array([None if r is None else [{"allows": a, "path": p} for a, p in r] for r in rules], pa.list_(pa.struct([("allows", pa.bool_()), ("path", pa.string())])))
+            yield pa.RecordBatch.from_arrays([batch.column("domain"), made, batch.column("status"), pa.array(text, pa.string())], names=["domain", "rules", "status", "robots_txt"])
+
+    return robots.select("domain", F.col("status").cast("int").alias("status"), "robots_txt").mapInArrow(run, f"domain string, rules {RULES}, status int, robots_txt string")
+
+
 def allowed(useragent: str):
-    """A column function (url, status, robots_txt) that tells whether the robots rules let the agent fetch the url."""
+    """A column function (url, status, robots_txt) that tells whether the robots rules let the agent fetch the url; null for a null url."""
 
     @F.pandas_udf("boolean")
     def check(url: pd.Series, status: pd.Series, text: pd.Series) -> pd.Series:
-        some = lambda x: None if pd.isna(x) else x
-        known = (_rules(None if pd.isna(s) else int(s), some(t)) for s, t in zip(status, text, strict=True))
-        return pd.Series([r.can_fetch(useragent, u) for r, u in zip(known, url, strict=True)])
+        known: dict = {}
+        made = []
+        for u, s, t in zip(url, status, text, strict=True):
+            if u is None:
+                made.append(None)
+                continue
+            key = (None if pd.isna(s) else int(s), t if isinstance(t, str) else None)
+            if key not in known:
+                known[key] = _rules(*key)
+            made.append(known[key].can_fetch(useragent, u))
+        return pd.Series(made, dtype=object)
 
     return check
 
 
 def with_robots(rows: DataFrame, robots: DataFrame, useragent: str, url: str = "url", domain: str = "domain") -> DataFrame:
-    """Adds `allowed`; a domain without a recorded robots file allows everything."""
-    rules = robots.select(F.col("domain").alias(domain), F.col("status").alias("_status"), F.col("robots_txt").alias("_txt"), F.lit(True).alias("_known"))
+    """Adds `allowed`; a domain without a recorded robots file allows everything.
+
+    Rules are prefixes, compared in columns; only urls or rules with characters that need decoding go through Python, with
+    the text of their host's file.
+    """
+    rules = robots_rules(robots, useragent).select(F.col("domain").alias(domain), F.struct("rules", "status", "robots_txt").alias("_robots"))
     joined = rows.join(rules, domain, "left")
-    # Without a file the text is empty and the status fine, which allows all.
-    status = F.when(F.col("_known"), F.col("_status")).otherwise(F.lit(200))
-    return joined.withColumn("allowed", allowed(useragent)(F.col(url), status, F.col("_txt"))).drop("_status", "_txt", "_known")
+    known, rules = F.col("_robots").isNotNull(), F.col("_robots.rules")
+    plain = rules.isNotNull() & (F.col(url).rlike(_PLAIN_URL) | (F.size(rules) == 1))
+    path = F.regexp_replace(url, r"^[^:]*://[^/?#]*", "")
+    path = F.when(path == "", F.lit("/")).otherwise(path)
+    first = F.get(F.filter(rules, lambda r: F.startswith(path, r["path"])), 0)["allows"]
+    asked = known & ~F.coalesce(plain, F.lit(False))
+    status, text = F.when(rules.isNull(), F.col("_robots.status")).otherwise(F.lit(200)), F.when(rules.isNull(), F.col("_robots.robots_txt")).otherwise(_text_of(rules))
+    by_text = allowed(useragent)(*(F.when(asked, x) for x in (F.col(url), status, text)))
+    return joined.withColumn("allowed", F.when(~known, F.lit(True)).when(asked, by_text).otherwise(first)).drop("_robots")
+
+
+def _text_of(rules: Column) -> Column:
+    """A robots file that says the same as plain rules; the last one goes without saying."""
+    lines = F.transform(F.filter(rules, lambda r: r["path"] != ""), lambda r: F.concat(F.when(r["allows"], F.lit("Allow: ")).otherwise(F.lit("Disallow: ")), r["path"]))
+    return F.concat(F.lit("User-agent: *\n"), F.array_join(lines, "\n"))
+
+
+def without_disallowed(pages: DataFrame, robots: DataFrame, useragent: str) -> DataFrame:
+    """The page rows that robots rules let the agent fetch; urls that cannot be parsed have no host, so nothing forbids them."""
+    domain = fresh_name("domain", pages.columns)
+    return with_robots(pages.withColumn(domain, urls.netloc(F.col("url"))), robots, useragent, domain=domain).where("allowed").select(*pages.columns)
+
+
+def fresh_name(name: str, taken: Sequence[str]) -> str:
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def page_links(pages: DataFrame, keywords: Sequence[str]) -> DataFrame:

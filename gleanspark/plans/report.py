@@ -27,14 +27,16 @@ def run_summary(scraped: DataFrame, by_url: DataFrame, seeds: DataFrame) -> Data
     tried = by_url.where("tried").agg(
         F.count(F.lit(1)).alias("urls_tried"), F.count_if(F.col("visits_max_logged") == 0).alias("without_visits"), F.count_if(F.col("visits_max_logged") > 0).alias("with_visits")
     )
-    per_site = pages_per_site(scraped).agg(
-        F.coalesce(F.count_if(F.col("n_pages") == 1), F.lit(0)).alias("sites_with_one_page"), F.coalesce(F.max("n_pages"), F.lit(0)).alias("most_pages")
-    )
-    total = scraped.agg(F.countDistinct("base_url").alias("sites_scraped"), F.count(F.lit(1)).alias("pages_scraped"))
+    # One pass over the rows: by site first, null sites too; those count as pages, but are no site.
+    site = F.col("base_url").isNotNull()
+    per_site = scraped.groupBy("base_url").agg(F.count("url").alias("n_pages"), F.count(F.lit(1)).alias("n_rows")).agg(
+        F.count_if(site).alias("sites_scraped"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("pages_scraped"),
+        F.count_if(site & (F.col("n_pages") == 1)).alias("sites_with_one_page"), F.coalesce(F.max(F.when(site, F.col("n_pages"))), F.lit(0)).alias("most_pages"),
+    )
     given = seeds.agg(F.count(F.lit(1)).alias("urls_given"))
-    # Four rows of one line each.
+    # Three relations of one row each.
     key = F.lit(1).alias("_one")
     out = given.select("*", key)
-    for other in (tried, total, per_site):
+    for other in (tried, per_site):
         out = out.join(other.select("*", key), "_one")
     return out.drop("_one")

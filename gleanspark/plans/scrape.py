@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.config import Config, run_directory
+from gleanspark.config import Config, Requests, run_directory
 from gleanspark.functions.markup import parse_pages
 from gleanspark.operators import crawl as crawling
 from gleanspark.operators import fetch, rows
-from gleanspark.sources import files
+from gleanspark.sources import files, snapshots
 
 #: Places that a seed's crawl results can take before those of its sitemap.
 _SITEMAP_FROM = 1 << 40
@@ -26,12 +26,16 @@ class Crawl:
     max_visits: int = 200
     use_sitemap: bool = True
 
-    def results(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None) -> DataFrame:
+    def trace(self, seeds: DataFrame, pages: DataFrame) -> DataFrame:
+        """What the crawl of every seed does; see `crawl`."""
+        got = fetch.fetched(pages)
+        return crawling.crawl(seeds, fetch.page_links(got, self.keywords), got, self.max_depth, self.max_visits)
+
+    def results(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None, trace: DataFrame | None = None) -> DataFrame:
         """(seed_pos, place, url, first_keyword_hit) of all seeds, in order of place within a seed."""
         seen, found = None, None
         if self.max_visits > 0:
-            got = fetch.fetched(pages)
-            trace = crawling.crawl(seeds, fetch.page_links(got, self.keywords), got, self.max_depth, self.max_visits)
+            trace = self.trace(seeds, pages) if trace is None else trace
             seen = trace.where("kind = 'seen'")
             found = crawling.results_of(trace).select("seed_pos", F.col("result_pos").alias("place"), "url", "first_keyword_hit")
         if self.use_sitemap and sitemap is not None:
@@ -45,7 +49,10 @@ class Crawl:
 class StartPages:
     """No crawl: the start page of each seed."""
 
-    def results(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None) -> DataFrame:
+    def trace(self, seeds: DataFrame, pages: DataFrame) -> None:
+        return None
+
+    def results(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None, trace: DataFrame | None = None) -> DataFrame:
         return crawling.without_crawl(seeds).select("seed_pos", F.col("result_pos").alias("place"), "url", "first_keyword_hit")
 
 
@@ -69,15 +76,24 @@ class Pipeline:
     crawler: Crawl | StartPages
     extractor: BodyText | NoText = field(default_factory=BodyText)
     batchsize: int = 100
+    useragent: str = Requests.useragent
 
     def contents(self, results: DataFrame, pages: DataFrame) -> DataFrame:
         """Results with the text of their pages; a page is parsed once however many results name it."""
         wanted = fetch.fetched(pages).join(results.select("url").distinct(), "url", "left_semi").dropDuplicates(["url"])
         return results.join(self.extractor.contents(wanted).where(F.col("content") != ""), "url")
 
-    def run(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None) -> DataFrame:
-        """(base_url, url, first_keyword_hit, content, batch)."""
-        found = self.contents(self.crawler.results(seeds, pages, sitemap), pages)
+    def visible(self, pages: DataFrame, robots: DataFrame | None) -> DataFrame:
+        """The pages that robots files let the agent fetch; without robots files, all."""
+        return pages if robots is None else fetch.without_disallowed(pages, snapshots.robots_by_domain(robots), self.useragent)
+
+    def run(self, seeds: DataFrame, pages: DataFrame, sitemap: DataFrame | None = None, robots: DataFrame | None = None, trace: DataFrame | None = None) -> DataFrame:
+        """(base_url, url, first_keyword_hit, content, batch).
+
+        `robots` (domain, status, robots_txt) keeps what it forbids out of the crawl and of the rows; `trace` is the crawl's, if it has been done.
+        """
+        pages = self.visible(pages, robots)
+        found = self.contents(self.crawler.results(seeds, pages, sitemap, trace), pages)
         kept = rows.first_of_each(found, "seed_pos", "place", "content", ["url", "first_keyword_hit"])
         numbered = rows.with_batch(kept, "seed_pos", "place", self.batchsize)
         return numbered.join(seeds.select("seed_pos", "base_url"), "seed_pos").select("base_url", "url", "first_keyword_hit", "content", "batch")
@@ -92,6 +108,4 @@ def build_pipeline(spark: SparkSession, config: Config) -> tuple[Pipeline, DataF
     seeds = files.seeds_of(files.read_lines(spark, f"{given.input_dir}/{given.urls}"), given.url_offset, given.url_max)
     keywords = files.read_keywords(spark, f"{given.input_dir}/{given.keywords}")
     crawler = Crawl(keywords, limits.max_depth, limits.max_visits, limits.use_sitemap)
-    return Pipeline(crawler, BodyText(), config.output.batchsize), seeds, run_directory(config.output.output_dir, given.url_offset)
-
-
+    return Pipeline(crawler, BodyText(), config.output.batchsize, config.requests.useragent), seeds, run_directory(config.output.output_dir, given.url_offset)

@@ -67,10 +67,35 @@ def _links(spark, d) -> DataFrame:
     return fetch.page_links(_pages(spark, d), KEYWORDS)
 
 
+def _linked(spark, d) -> DataFrame:
+    """The pages with links to each other after their text: to two further pages of the host, and every third to the next host's first."""
+    pages = _sitemap(spark, d).join(_pages(spark, d), ["domain", "url"]).select("domain", "sm_pos", "url", "html")
+    hosts = pages.where("sm_pos = 0").select("domain", "url")
+    order = Window.orderBy("domain")
+    beside = hosts.select("domain", F.coalesce(F.lead("url").over(order), F.first("url").over(order)).alias("to"))
+    inner = pages.select("domain", F.col("sm_pos").alias("k"), F.col("url").alias("to"))
+    near = pages.select("url", "domain", F.posexplode(F.array(2 * F.col("sm_pos") + 1, 2 * F.col("sm_pos") + 2)).alias("i", "k")).join(inner, ["domain", "k"]).select("url", "i", "to")
+    far = pages.where("sm_pos % 3 = 0").join(beside, "domain").select("url", F.lit(2).alias("i"), "to")
+    anchor = F.concat(F.lit('<a href="'), F.replace("to", F.lit("&"), F.lit("&amp;")), F.lit('">go</a>'))
+    made = near.unionAll(far).select("url", "i", anchor.alias("a")).groupBy("url").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "a"))), lambda x: x["a"]), "").alias("anchors"))
+    html = F.concat("html", F.lit("<nav>"), F.coalesce("anchors", F.lit("")), F.lit("</nav>"))
+    return pages.join(made, "url", "left").select("url", html.alias("html"))
+
+
+#: Limits of the focused crawls below; both bind.
+VISITS, DEPTH = 14, 1
+
+
+def _focused(spark, d) -> tuple[scrape.Pipeline, DataFrame, DataFrame]:
+    """(the pipeline, its seeds, its pages): a crawl from the first page of each host."""
+    crawler = scrape.Crawl(KEYWORDS, max_depth=DEPTH, max_visits=VISITS)
+    return scrape.Pipeline(crawler, batchsize=BATCH, useragent=AGENT), _first_pages(spark, d), snapshots.pages_of(_linked(spark, d))
+
+
 def _scraped(spark, d) -> DataFrame:
-    pages = snapshots.pages_of(_pages(spark, d).select("url", "html"))
-    pipeline = scrape.Pipeline(scrape.Crawl(KEYWORDS, max_visits=0), batchsize=BATCH)
-    return pipeline.run(_seeds(spark, d), pages, _sitemap(spark, d))
+    """The flagship: crawl, sitemap and robots files together."""
+    pipeline, seeds, pages = _focused(spark, d)
+    return pipeline.run(seeds, pages, _sitemap(spark, d), _robots(spark, d))
 
 
 def _log_rows(spark, d) -> DataFrame:
@@ -131,11 +156,42 @@ _EXTENSION = (
     f"{_HOSTS}, {_SITEMAP}, ext AS (SELECT pos AS seed_pos, h.domain AS base_url, sm_pos, url, html, {_hit_sql('url')} AS hit FROM hosts h JOIN sitemap s USING (domain) WHERE url <> 'https://' || h.domain), "
     "hits AS (SELECT * FROM ext WHERE hit <> '')"
 )
+_ALLOWED = (
+    f"CASE length(domain) % 6 WHEN 0 THEN NOT starts_with({_path_sql('url')}, '/de/') WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN NOT starts_with({_path_sql('url')}, '/en/1') WHEN 4 THEN false ELSE true END"
+)
+_BAD = " OR ".join(f"contains(url, '{x}')" for x in urls.unsupported_literals())
+# A crawl step by step: each step takes the first of the queue (least depth, then first found) and meets the links of its page, if it may be fetched.
+_WALK = (
+    f"{_LINKS}, {_SITEMAP}, firsts AS (SELECT domain, min(page_id) AS seed_pos, arg_min(url, page_id) AS start_url FROM p GROUP BY domain), "
+    "beside AS (SELECT domain, coalesce(lead(start_url) OVER (ORDER BY domain), first_value(start_url) OVER (ORDER BY domain)) AS target FROM firsts), "
+    "near AS (SELECT a.url AS page_url, 1000 + b.sm_pos - 2 * a.sm_pos AS link_pos, b.url AS target FROM sitemap a JOIN sitemap b ON a.domain = b.domain AND b.sm_pos IN (2 * a.sm_pos + 1, 2 * a.sm_pos + 2)), "
+    "far AS (SELECT url AS page_url, 1003 AS link_pos, target FROM sitemap JOIN beside USING (domain) WHERE sm_pos % 3 = 0), "
+    f"more AS (SELECT page_url, link_pos, rtrim(target, '/') AS url FROM near UNION ALL SELECT page_url, link_pos, rtrim(target, '/') FROM far), "
+    f"every AS (SELECT page_url, link_pos, url FROM links UNION ALL SELECT page_url, link_pos, url FROM more), "
+    "once AS (SELECT page_url, url, min(link_pos) AS link_pos FROM every GROUP BY page_url, url), "
+    f"open AS (SELECT url AS page_url FROM p WHERE ROBOTS), "
+    f"told AS (SELECT page_url, link_pos, url, {_netloc_sql('url')} AS domain, {_hit_sql('url')} AS hit, {_BAD} AS bad FROM once), "
+    "pages_links AS (SELECT page_url, list({'url': url, 'domain': domain, 'hit': hit, 'bad': bad} ORDER BY link_pos) AS l FROM told JOIN open USING (page_url) GROUP BY page_url), "
+    "walk AS (SELECT seed_pos, domain AS home, 0 AS step, [{'depth': 0, 'n': 0::BIGINT, 'url': start_url}] AS q, "
+    "[{'url': start_url, 'domain': domain, 'depth': 0}, {'url': domain, 'domain': domain, 'depth': 0}] AS seen, []::VARCHAR[] AS done, []::STRUCT(url VARCHAR, hit VARCHAR)[] AS found, 1::BIGINT AS pushed FROM firsts "
+    "UNION ALL SELECT seed_pos, home, step + 1, list_concat(list_filter(q, lambda x: x.n <> head.n), list_filter(list_transform(fresh, lambda x, i: {'depth': CASE WHEN x.bad THEN 1000000 WHEN x.hit <> '' THEN 0 ELSE par.depth + 1 END, 'n': pushed + i, 'url': x.url}), "
+    f"lambda x: x.depth <= {DEPTH})), list_concat(seen, list_transform(fresh, lambda x: {{'url': x.url, 'domain': CASE WHEN x.bad THEN NULL ELSE x.domain END, 'depth': CASE WHEN x.hit <> '' THEN 0 ELSE par.depth + 1 END}})), "
+    "CASE WHEN old THEN done ELSE list_append(done, head.url) END, list_concat(found, list_transform(list_filter(fresh, lambda x: x.hit <> '' AND NOT x.bad), lambda x: {'url': x.url, 'hit': x.hit})), pushed + len(fresh) "
+    "FROM (SELECT *, CASE WHEN old OR l IS NULL THEN [] ELSE list_filter(l, lambda x: NOT list_contains(known, x.url) AND (x.bad OR x.domain = home OR x.domain = par.domain OR par.domain = home)) END AS fresh "
+    "FROM (SELECT *, list_contains(done, rtrim(head.url, '/')) AS old, list_filter(seen, lambda x: x.url = head.url)[1] AS par, list_transform(seen, lambda x: x.url) AS known "
+    f"FROM (SELECT *, list_sort(q)[1] AS head FROM walk WHERE len(q) > 0 AND len(done) < {VISITS})) LEFT JOIN pages_links ON page_url = head.url)), "
+    "ended AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY seed_pos ORDER BY step DESC) = 1), "
+    "results AS (SELECT seed_pos, home, unnest(range(len(found))) AS place, unnest(found) AS f FROM ended)"
+)
 _SCRAPED = (
-    f"{_EXTENSION}, content AS (SELECT *, {_body_sql('html')} AS content FROM hits), "
-    "kept AS (SELECT *, row_number() OVER (PARTITION BY seed_pos, content ORDER BY sm_pos) AS k FROM content WHERE content <> ''), "
-    f"scraped AS (SELECT base_url, url, hit AS first_keyword_hit, content, ((row_number() OVER (ORDER BY seed_pos, sm_pos) - 1) // {BATCH})::INTEGER AS batch FROM kept WHERE k = 1)"
+    f"{_WALK.replace('ROBOTS', _ALLOWED)}, seen_urls AS (SELECT seed_pos, unnest(seen).url AS url FROM ended), "
+    f"listed AS (SELECT seed_pos, sm_pos + {1 << 40} AS place, url, {_hit_sql('url')} AS hit FROM sitemap JOIN firsts USING (domain) WHERE url <> start_url AND NOT ({_BAD})), "
+    "fits AS (SELECT seed_pos, place, f.url AS url, f.hit AS hit FROM results UNION ALL SELECT seed_pos, place, url, hit FROM listed ANTI JOIN seen_urls USING (seed_pos, url) WHERE hit <> ''), "
+    f"content AS (SELECT seed_pos, place, f.url, hit, {_body_sql('html')} AS content FROM fits f JOIN p ON p.url = f.url JOIN open ON page_url = f.url), "
+    "kept AS (SELECT *, row_number() OVER (PARTITION BY seed_pos, content ORDER BY place) AS k FROM content WHERE content <> ''), "
+    f"scraped AS (SELECT start_url AS base_url, url, hit AS first_keyword_hit, content, ((row_number() OVER (ORDER BY seed_pos, place) - 1) // {BATCH})::INTEGER AS batch FROM kept JOIN firsts USING (seed_pos) WHERE k = 1)"
 )
+_EXTENDED = f"{_EXTENSION}, content AS (SELECT *, {_body_sql('html')} AS content FROM hits)"
 _HEAD = "printf('INFO 2026-01-01 00:00:%02d,000 MainProcess ', page_id % 60)"
 _LOGS = (
     f"{_P}, parts AS (SELECT page_id, {_HEAD} || '{logs.TRYING}' || domain AS a, {_HEAD} || 'Found a targeted URL: ' || url AS n, "
@@ -325,7 +381,7 @@ def html_body_text(spark, d):
     return parse_pages(_pages(spark, d), keep=["page_id"]).select("page_id", "content")
 
 
-@_query(f"WITH {_SCRAPED} SELECT seed_pos, sm_pos AS place, url, content FROM content WHERE content <> ''")
+@_query(f"WITH {_EXTENDED} SELECT seed_pos, sm_pos AS place, url, content FROM content WHERE content <> ''")
 def scrape_content(spark, d):
     pages = snapshots.pages_of(_pages(spark, d).select("url", "html"))
     found = crawl.sitemap_results(_seeds(spark, d), _sitemap(spark, d), KEYWORDS).select("seed_pos", F.col("sm_pos").alias("place"), "url", F.col("hit").alias("first_keyword_hit"))
@@ -369,6 +425,30 @@ def crawl_results(spark, d):
     return crawl.results_of(_crawled(spark, d, 2))
 
 
+def _trace(spark, d) -> DataFrame:
+    pipeline, seeds, pages = _focused(spark, d)
+    return pipeline.crawler.trace(seeds, pages)
+
+
+@_query(f"WITH RECURSIVE {_WALK.replace('ROBOTS', 'true')} SELECT seed_pos, i AS pos, url FROM (SELECT seed_pos, unnest(range(len(done))) AS i, unnest(done) AS url FROM ended)")
+def crawl_focused_visits(spark, d):
+    """Which pages a crawl with keywords, depth and budget visits, in order."""
+    return _trace(spark, d).where("kind = 'visit'").select("seed_pos", "pos", "url")
+
+
+@_query(f"WITH RECURSIVE {_WALK.replace('ROBOTS', 'true')} SELECT seed_pos, place AS result_pos, f.url AS url, 'NoCrawler' AS source, true AS targeted, f.hit AS first_keyword_hit FROM results")
+def crawl_focused_results(spark, d):
+    return crawl.results_of(_trace(spark, d))
+
+
+@_query(f"WITH RECURSIVE {_WALK.replace('ROBOTS', _ALLOWED)} SELECT seed_pos, len(done)::BIGINT AS n_visits, len(seen)::BIGINT AS n_seen FROM ended")
+def crawl_behind_robots(spark, d):
+    """A crawl that robots files keep out of pages; what they forbid is visited in vain."""
+    pipeline, seeds, pages = _focused(spark, d)
+    trace = pipeline.crawler.trace(seeds, pipeline.visible(pages, _robots(spark, d)))
+    return trace.groupBy("seed_pos").agg(F.count_if(F.col("kind") == "visit").alias("n_visits"), F.count_if(F.col("kind") == "seen").alias("n_seen"))
+
+
 _NODE = "'https://d' || n_regionkey || '.test/' || n_nationkey"
 
 
@@ -387,7 +467,7 @@ def crawl_reachability(spark, d):
     return crawl.crawl(seeds, links, nodes, 1 << 20, 1 << 20).where("kind = 'visit'").select("seed_pos", "url")
 
 
-@_query(f"WITH {_SCRAPED} SELECT * FROM scraped")
+@_query(f"WITH RECURSIVE {_SCRAPED} SELECT * FROM scraped")
 def scrape_end_to_end(spark, d):
     return _scraped(spark, d)
 
@@ -412,17 +492,17 @@ def scan_valid_content(spark, d):
     return kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("content")).alias("n_chars"))
 
 
-@_query(f"WITH {_SCRAPED} SELECT DISTINCT base_url FROM scraped")
+@_query(f"WITH RECURSIVE {_SCRAPED} SELECT DISTINCT base_url FROM scraped")
 def distinct_base_urls(spark, d):
     return _scraped(spark, d).select("base_url").distinct()
 
 
-@_query(f"WITH {_SCRAPED} SELECT base_url, count(url) AS n_pages FROM scraped GROUP BY base_url")
+@_query(f"WITH RECURSIVE {_SCRAPED} SELECT base_url, count(url) AS n_pages FROM scraped GROUP BY base_url")
 def pages_per_base_url(spark, d):
     return report.pages_per_site(_scraped(spark, d))
 
 
-@_query(f"WITH {_SCRAPED} SELECT n_pages AS pages, count(*) AS counts FROM (SELECT count(url) AS n_pages FROM scraped GROUP BY base_url) GROUP BY n_pages")
+@_query(f"WITH RECURSIVE {_SCRAPED} SELECT n_pages AS pages, count(*) AS counts FROM (SELECT count(url) AS n_pages FROM scraped GROUP BY base_url) GROUP BY n_pages")
 def pages_histogram(spark, d):
     return report.pages_histogram(_scraped(spark, d))
 
@@ -448,12 +528,12 @@ def log_orphan_visits(spark, d):
 
 
 @_query(
-    f"WITH {_SCRAPED}, {_LOGS.removeprefix(_P + ', ')}, per AS (SELECT count(url) AS n FROM scraped GROUP BY base_url) SELECT (SELECT count(*) FROM hosts) AS urls_given, count(*) FILTER (tried) AS urls_tried, "
+    f"WITH RECURSIVE {_SCRAPED}, {_LOGS.removeprefix(_P + ', ')}, per AS (SELECT count(url) AS n FROM scraped GROUP BY base_url) SELECT (SELECT count(*) FROM firsts) AS urls_given, count(*) FILTER (tried) AS urls_tried, "
     "count(*) FILTER (tried AND visits_max_logged = 0) AS without_visits, count(*) FILTER (tried AND visits_max_logged > 0) AS with_visits, (SELECT count(DISTINCT base_url) FROM scraped) AS sites_scraped, "
     "(SELECT count(*) FROM scraped) AS pages_scraped, (SELECT count(*) FILTER (n = 1) FROM per) AS sites_with_one_page, (SELECT coalesce(max(n), 0) FROM per) AS most_pages FROM by_url"
 )
 def run_summary(spark, d):
-    return report.run_summary(_scraped(spark, d), logs.visits_by_url(logs.sessions(_log_rows(spark, d))), _seeds(spark, d))
+    return report.run_summary(_scraped(spark, d), logs.visits_by_url(logs.sessions(_log_rows(spark, d))), _first_pages(spark, d))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

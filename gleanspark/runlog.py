@@ -6,9 +6,13 @@ import logging
 from datetime import datetime
 from pathlib import Path
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from gleanspark.config import Output
-from gleanspark.operators.logs import TRYING
+from gleanspark.operators.logs import TRYING, VISITS
 
+# Fixed value: the format of a line that the report reads.
 FORMAT = "%(levelname)s %(asctime)s %(processName)s %(message)s"
 
 
@@ -29,3 +33,16 @@ def start(output: Output, offset: int, now: datetime | None = None) -> logging.L
 
 def trying(logger: logging.Logger, base_url: str) -> None:
     logger.info("%s%s", TRYING, base_url)
+
+
+def visits(logger: logging.Logger, done: int, most: int) -> None:
+    """What a crawl did; it belongs to the url that was tried last."""
+    logger.info("Crawl did %d%s%d.", done, VISITS, most)
+
+
+def visited(seeds: DataFrame, trace: DataFrame | None) -> DataFrame:
+    """(base_url, visits) of every seed, in order."""
+    if trace is None:
+        return seeds.select("base_url", F.lit(0).alias("visits"), "seed_pos").orderBy("seed_pos")
+    done = trace.where("kind = 'visit'").groupBy("seed_pos").agg(F.count(F.lit(1)).alias("visits"))
+    return seeds.join(done, "seed_pos", "left").select("base_url", F.coalesce("visits", F.lit(0)).alias("visits"), "seed_pos").orderBy("seed_pos")

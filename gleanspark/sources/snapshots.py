@@ -29,8 +29,9 @@ def constant_pages(urls: DataFrame, html: str = CONSTANT_PAGE) -> DataFrame:
 
 
 def robots_by_domain(robots: DataFrame) -> DataFrame:
-    """One robots file for each domain: the one that sorts first, should there be several."""
-    first = F.min(F.struct("status", "robots_txt")).alias("r")
+    """One robots file for each domain: should there be several, a successful answer before others, any answer before none, then the one that sorts first."""
+    worth = F.when(F.col("status").between(200, 299), 0).when(F.col("status").isNotNull(), 1).otherwise(2)
+    first = F.min(F.struct(worth.alias("worth"), "status", "robots_txt")).alias("r")
     return robots.groupBy("domain").agg(first).select("domain", "r.status", "r.robots_txt")
 
 
@@ -61,28 +62,32 @@ def _read_sitemap(xml: str | None) -> tuple[bool, list[str]]:
     return bare(root.tag) == "sitemapindex", [u for u in urls if u]
 
 
-def sitemap_from_files(robots: DataFrame, files: DataFrame, levels: int = 5) -> DataFrame:
-    """The sitemap relation from recorded sitemap files (file_url, xml): the declared ones and those that indexes lead to.
+def sitemap_from_files(robots: DataFrame, files: DataFrame) -> DataFrame:
+    """The sitemap relation from recorded sitemap files (file_url, xml): the declared ones and those that indexes lead to, however deep.
 
-    Files that were not recorded or are broken list nothing; indexes nest up to `levels` deep. Urls are
-    numbered in the order of the tree.
+    Files that were not recorded or are broken list nothing; an index that leads to a file above it is not followed
+    there again. Urls are numbered in the order of the tree.
     """
     from pyspark.sql import Window
 
+    from gleanspark.checkpoints import with_checkpoints
+
     def parse(batches):
         for batch in batches:
             read = [_read_sitemap(x) for x in batch.column("xml").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("file_url"), pa.array([i for i, _ in read], pa.bool_()), pa.array([u for _, u in read], pa.list_(pa.string()))], names=["file_url", "is_index", "urls"])
 
-    parsed = files.select("file_url", "xml").mapInArrow(parse, "file_url string, is_index boolean, urls array<string>")
-    asked = declared_sitemaps(robots).select("domain", "file_url", F.array("pos").alias("rank"))
-    found = None
-    for _ in range(levels):
-        listed = asked.join(parsed, "file_url").select("domain", "rank", "is_index", F.posexplode("urls").alias("i", "url"))
-        listed = listed.select("domain", "is_index", "url", F.concat("rank", F.array("i")).alias("rank"))
+    with_checkpoints(robots.sparkSession)
+    parsed = files.select("file_url", "xml").mapInArrow(parse, "file_url string, is_index boolean, urls array<string>").checkpoint()
+    asked, found = declared_sitemaps(robots).select("domain", "file_url", F.array("pos").alias("rank"), F.array("file_url").alias("above")), None
+    while True:
+        listed = asked.join(parsed, "file_url").select("domain", "rank", "above", "is_index", F.posexplode("urls").alias("i", "url"))
+        listed = listed.select("domain", "above", "is_index", "url", F.concat("rank", F.array("i")).alias("rank")).checkpoint()
         pages = listed.where("not is_index").select("domain", "rank", "url")
         found = pages if found is None else found.unionAll(pages)
-        asked = listed.where("is_index").select("domain", F.col("url").alias("file_url"), "rank")
+        asked = listed.where("is_index and not array_contains(above, url)").select("domain", F.col("url").alias("file_url"), "rank", F.concat("above", F.array("url")).alias("above"))
+        if asked.isEmpty():
+            break
     place = F.row_number().over(Window.partitionBy("domain").orderBy("rank")) - 1
     return found.select("domain", place.cast("long").alias("sm_pos"), "url")
 

@@ -124,8 +124,6 @@ def test_sitemap(spark):
     seen = spark.createDataFrame([(0, "https://s.nl/job/2")], "seed_pos long, url string")
     got = crawl.sitemap_results(seeds, sitemap, ["job"], seen)
     assert sorted((r.sm_pos, r.url) for r in got.collect()) == [(0, "https://s.nl/job/1/"), (1, "https://other.nl/job")]
-    first = spark.createDataFrame([(0, 0, "u", "k")], "seed_pos long, result_pos long, url string, first_keyword_hit string")
-    assert [r.url for r in crawl.extended(first, got).orderBy("seed_pos", "rank").collect()] == ["u", "https://s.nl/job/1/", "https://other.nl/job"]
 
 
 def test_robots(spark):
@@ -153,3 +151,55 @@ def test_links_of_a_page(spark):
     got = [tuple(r) for r in fetch.page_links(pages, ["job"]).orderBy("link_pos").collect()]
     assert got == [("https://s.nl/p/", 0, "https://s.nl/p/x.pdf", "s.nl", "", True), ("https://s.nl/p/", 2, "https://job.nl", "job.nl", "job", False)]
     assert fetch.page_links(pages, ["job"]).where(F.col("page_url") == "https://e.nl").count() == 0
+
+
+def test_pages_are_parsed_once(spark):
+    """However many rounds a crawl takes."""
+    parsed = spark.sparkContext.accumulator(0)
+    graph = {S: [f"/p{i}" for i in range(5)]} | {f"{S}/p{i}": [f"/p{j}" for j in range(5 * i, 5 * i + 5) if j > i] for i in range(120)}
+    pages = spark.createDataFrame([(u, "".join(f'<a href="{x}">l</a>' for x in links)) for u, links in graph.items()], "url string, html string")
+
+    def count(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    counted = fetch.page_links(pages.mapInArrow(count, pages.schema), [])
+    seeds = spark.createDataFrame([(i, S, "s.nl") for i in range(3)], "seed_pos long, start_url string, start_domain string")
+    trace = crawl.crawl(seeds, counted, pages, 50, 200)
+    assert trace.where("kind = 'visit'").count() > 300 and trace.where("kind = 'seen'").count() > 300
+    assert parsed.value == len(graph)
+
+
+def test_robots_equal_the_parser(spark):
+    """Plain rules and urls in columns, others in Python, against the standard parser."""
+    rng = random.Random(3)
+    paths = ["/", "/a", "/a/b", "/a%20b", "/a?x=1", "/%7Eu", "/é", "", "/a*", "/b$", "/a;p", "/a/./b", "//a"]
+    agents = ["*", "Glean", "other"]
+    texts = []
+    for _ in range(60):
+        lines = []
+        for _ in range(rng.randint(1, 3)):
+            lines.append(f"User-agent: {rng.choice(agents)}")
+            lines += [f"{rng.choice(['Allow', 'Disallow'])}: {rng.choice(paths)}" for _ in range(rng.randint(0, 3))] + [""]
+        texts.append("\n".join(lines))
+    robots = [(f"h{i}", rng.choice([200, 200, 200, 204, 301, 401, 404, 500, None]), x) for i, x in enumerate(texts)]
+    urls_ = [(f"h{i}", f"{scheme}://h{i}{p}{q}") for i in range(62) for scheme in ("http", "https") for p in [*paths, "/a/b/c", "/b", "/a b"] for q in ("", "?x=1&y=2", "#f")]
+    rows = spark.createDataFrame(urls_, "domain string, url string")
+    got = {r.url: r.allowed for r in fetch.with_robots(rows, spark.createDataFrame(robots, "domain string, status int, robots_txt string"), "glean/1.0").collect()}
+    rules = {d: fetch._rules(s, x) for d, s, x in robots}
+    assert got == {u: rules[d].can_fetch("glean/1.0", u) if d in rules else True for d, u in urls_}
+
+
+def test_robots_keep_pages_out(spark):
+    from gleanspark.plans import scrape
+    from gleanspark.sources import snapshots
+
+    html = {S: '<a href="/job/1">1</a><a href="/private/job">2</a>', f"{S}/job/1": "<p>open</p>", f"{S}/private/job": '<p>closed</p><nav><a href="/job/2">3</a></nav>', f"{S}/job/2": "<p>behind it</p>"}
+    pages = snapshots.pages_of(spark.createDataFrame(list(html.items()), "url string, html string"))
+    seeds = spark.createDataFrame([(0, S, S, "s.nl")], "seed_pos long, base_url string, start_url string, start_domain string")
+    robots = spark.createDataFrame([("s.nl", None, None), ("s.nl", 200, "User-agent: *\nDisallow: /private")], "domain string, status int, robots_txt string")
+    pipeline = scrape.Pipeline(scrape.Crawl(["job"]))
+    assert sorted(r.content for r in pipeline.run(seeds, pages).collect()) == ["behind it", "closed", "open"]
+    assert [r.content for r in pipeline.run(seeds, pages, None, robots).collect()] == ["open"]
+    assert pipeline.run(seeds, pages, None, robots.limit(0)).count() == 3

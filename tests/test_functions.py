@@ -134,3 +134,16 @@ def test_valid_text(spark):
     some = ["".join(rng.choices("\x00\x07\x08\x0b\x0c\x1f\x7fabcdefghijklmnopqrstuvwxyzé🙂", k=rng.randint(1, 30))) for _ in range(500)]
     want = [len(re.findall(r"[\x00-\x08\x0B\x0E-\x1F\x7F]", s)) / len(s) <= 0.1 for s in some]
     assert applied(spark, some, texts.is_valid) == want
+
+
+def test_references_equal_the_parser(spark):
+    """Those joined in columns and those that are not."""
+    rng = random.Random(8)
+    parts = ["/", "a", "b.c", ".", "..", "?", "x=1", "#", "f", "//", "http://h.nl", "https://h.nl:8080", ";p", " ", "%20", "é", "[", "..a", "a.", ":", "mailto:"]
+    bases = ["https://s.nl", "http://s.nl/a/b?x#y", "https://s.nl:81/", "HTTP://s.nl/q", "s.nl/x", "https://u@s.nl/z", "https://[::1]/a", None]
+    pairs = [(rng.choice(bases), "".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))) for _ in range(4000)] + [(b, r) for b in bases for r in ("/a/b.html", "https://x.nl/a?b=1#c", "/a/../b", "", None)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(pairs)], "i long, b string, r string")
+    got = {r.i: r.u for r in df.select("i", urls.absolute(F.col("b"), F.col("r")).alias("u")).collect()}
+    for i, (b, r) in enumerate(pairs):
+        want = urls.join_one(b, r)
+        assert got[i] == (None if want is None else want.rstrip("/")), (b, r)

@@ -154,6 +154,37 @@ def test_sitemap_files(spark):
     files_ = spark.createDataFrame(given, "file_url string, xml string")
     got = snapshots.sitemap_from_files(robots, files_).orderBy("sm_pos").collect()
     assert [tuple(r) for r in got] == [("s.nl", 0, "https://s.nl/1"), ("s.nl", 1, "https://s.nl/2/"), ("s.nl", 2, "https://s.nl/3")]
+    index = lambda *urls: "<sitemapindex>" + "".join(f"<sitemap><loc>{u}</loc></sitemap>" for u in urls) + "</sitemapindex>"
+    deep = [(f"f{i}", index(f"f{i + 1}", "f0")) for i in range(9)] + [("f9", page("https://d.nl/x"))]
+    named = spark.createDataFrame([("d.nl", 200, "Sitemap: f0")], model.ROBOTS)
+    assert [tuple(r) for r in snapshots.sitemap_from_files(named, spark.createDataFrame(deep, "file_url string, xml string")).collect()] == [("d.nl", 0, "https://d.nl/x")]
+
+
+def test_robots_files_that_answered_count(spark):
+    given = [("a", None, None), ("a", 200, "x"), ("a", 404, None), ("b", None, None), ("b", 404, None), ("c", None, None)]
+    got = snapshots.robots_by_domain(spark.createDataFrame(given, model.ROBOTS)).collect()
+    assert sorted(tuple(r) for r in got) == [("a", 200, "x"), ("b", 404, None), ("c", None, None)]
+
+
+def test_a_cluster_names_its_folder(spark, monkeypatch):
+    from gleanspark import checkpoints
+
+    class Context:
+        master, set = "spark://host:7077", None
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isEmpty": lambda self: self is not None})()})()})()
+
+        def setCheckpointDir(self, path):
+            self.set = path
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": lambda self, name, default: None})()
+
+    with pytest.raises(ValueError):
+        checkpoints.with_checkpoints(Session())
+    Session.sparkContext.master = "local[2]"
+    checkpoints.with_checkpoints(Session())
+    assert Session.sparkContext.set
 
 
 def test_command(spark, tmp_path):
@@ -165,7 +196,8 @@ def test_command(spark, tmp_path):
     folder = main([str(tmp_path / "c.yaml"), str(tmp_path / "pages")])
     assert spark.read.parquet(folder).count() == 1
     tried = logs.visits_by_url(logs.sessions(files.read_logs(spark, str(tmp_path / "out")))).collect()
-    assert [(r.base_url, r.tried) for r in tried] == [("s.nl", True)]
+    assert [(r.base_url, r.tried, r.visits_max_logged) for r in tried] == [("s.nl", True, 200)]
+    assert "Crawl did 4 visits out of maximum 200." in "".join(p.read_text() for p in (tmp_path / "out").rglob("*.log"))
 
 
 @pytest.mark.parametrize("path", ["sf0.001"])
