@@ -7,19 +7,12 @@ in the shared checkpoint folder, so lost executors cost one round at most.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ROUNDS = 60
-
+from gleanspark.checkpoints import with_checkpoints
 
-def with_checkpoints(spark: SparkSession) -> None:
-    """Names a checkpoint folder where neither the cluster nor the session has one (as in tests)."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+MAX_ROUNDS = 60
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

@@ -16,7 +16,9 @@ are hashes of row key, draw and place, so a row gives the same draws in any run,
 
 Edge cases: a null or empty text has no pieces and one segmentation, the empty one, with log_prob 0 and
 inclusion 1; a text with fewer segmentations than `draws` gives as many as it has; equal keys and texts
-give equal draws; a null key seeds like the text "null"; characters that are no pieces become bytes; an
+give equal draws; a null key seeds like the text "null"; characters that are no pieces become bytes; equal
+values, which draws of 64 bits all but rule out, go to the set made first; a model with pieces that reach across words, which
+lattices of words cannot hold, is refused with a ValueError; an
 empty table gives an empty result; extra columns are ignored.
 """
 
@@ -53,6 +55,19 @@ def _uniform(keys: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
+def _running(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Running sums from each place of `at` to the next, each by itself, so that they do not depend on what stands before."""
+    out, sizes = np.array(values, np.float64), np.diff(at)
+    if len(sizes) and sizes.max() > 64:  # few and long: paths of documents
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            np.cumsum(values[a:b], out=out[a:b])
+        return out
+    for j in range(1, int(sizes.max(initial=1))):  # many and short: edges of states
+        here = at[:-1][sizes > j] + j
+        out[here] += out[here - 1]
+    return out
+
+
 def _slots_of(hashes: np.ndarray) -> list[np.ndarray]:
     """Tables from a hash's upper bits to its place; what finds its slot taken goes to the next table."""
     tables, rest = [], np.arange(len(hashes))
@@ -183,9 +198,7 @@ class Lattice:
         del levels, follows, logs
         self.length, self.log = length.astype(np.int8), np.minimum(share, 0.0, out=share)
         p = np.exp(self.log)
-        total = np.cumsum(p)
-        total -= np.repeat(total.take(begins, mode="clip") - p.take(begins, mode="clip"), np.diff(begins, append=len(at)))
-        self.below = total.astype(np.float32)
+        self.below = _running(p, np.append(begins, len(at))).astype(np.float32)
         self.below[np.append(begins[1:], len(at)) - 1] = 1.0
         single = self.out.take(at, mode="clip") == 1
         self.log[single] = 0.0
@@ -359,14 +372,14 @@ class _Search:
         """Values for the sets that leave a path at each edge from `free` on."""
         sizes = np.diff(path.at)
         log = self.lattice.log.take(path.edges, mode="clip")
-        run = np.cumsum(log) - log
-        mass = run - np.repeat(run[path.at[:-1]], sizes) + self.lattice.log_other.take(path.edges, mode="clip")
+        run = _running(log, path.at) - log
+        mass = run + self.lattice.log_other.take(path.edges, mode="clip")
         place = np.arange(len(log)) - np.repeat(path.at[:-1], sizes)
         mass[place < np.repeat(free, sizes)] = -np.inf
         u = _uniform(self._keys(np.repeat(rows, sizes), 1000 + draw, place))
         with np.errstate(divide="ignore"):
             path.value = -np.logaddexp(-np.repeat(values, sizes), np.log(-np.log(u)) - mass)
-        path.log_before = run - np.repeat(run[path.at[:-1]], sizes)
+        path.log_before = run
         path.row = dict(zip(rows.tolist(), range(len(rows)), strict=True))
         top = np.maximum.reduceat(path.value, path.at[:-1])
         path.top = top

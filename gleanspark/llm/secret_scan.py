@@ -6,7 +6,7 @@ tokens (a CRC-32 in base 62 closes them), `jwt` (a JSON header that names its al
 and do not overlap; a match that is too short or fails validation is dropped but still uses up its text.
 
 Edge cases: a null text counts as empty; repeated rows give repeated results; an empty table gives
-an empty result; extra columns are ignored; texts are read whole, in linear time.
+an empty result; extra columns are ignored; spans that begin together come in the order of KINDS; texts are read whole, in linear time.
 """
 
 from __future__ import annotations

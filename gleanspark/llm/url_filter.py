@@ -5,6 +5,9 @@ the longest one first, decides. Otherwise the vocabulary does: each term counts
 or digit touches it, a strict term rejects alone, and soft terms reject when the weights of at
 least two distinct ones add up to the threshold.
 
+Of rules that fit, the one of the longest host decides, and of those the one with the longest path; two rules with
+the same host and path would be one. Terms are looked for in the url as it is written: percent-encoded letters hide them.
+
 Edge cases: a null url, or one without `://`, has empty host and path, fits no rule, and its whole
 string still meets the vocabulary (null: allow). Repeated rows get repeated results; an empty table
 gives an empty result; extra columns are ignored.

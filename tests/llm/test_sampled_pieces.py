@@ -66,10 +66,20 @@ def test_round_trip_of_awkward_texts():
 
 def test_draws_do_not_depend_on_neighbours():
     texts = ["some words here", "and others", "some more words\nthere"]
-    together = {(r, d): (i.tolist(), lp) for r, d, i, lp, *_ in Sampler(MODEL, 2)([5, 6, 7], texts)}
+    together = {(r, d): (i.tolist(), *x) for r, d, i, *x in Sampler(MODEL, 2)([5, 6, 7], texts)}
     for at, (key, text) in enumerate(zip([5, 6, 7], texts, strict=True)):
-        for _, d, i, lp, *_ in Sampler(MODEL, 2)([key], [text]):
-            assert together[at, d][0] == i.tolist() and math.isclose(together[at, d][1], lp, abs_tol=1e-9)
+        for _, d, i, *x in Sampler(MODEL, 2)([key], [text]):
+            assert together[at, d] == (i.tolist(), *x)
+
+
+def test_scores_alone_equal_those_in_a_slice(spark):
+    """To the last digit, on whole documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.limit(60).collect()]
+    keys, texts = zip(*rows, strict=True)
+    together = {(keys[r], d): (i.tolist(), *x) for r, d, i, *x in Sampler(MODEL, 2)(list(keys), list(texts))}
+    alone = {(key, d): (i.tolist(), *x) for key, text in rows for _, d, i, *x in Sampler(MODEL, 2)([key], [text])}
+    assert together == alone
 
 
 def test_awkward_rows(spark):
