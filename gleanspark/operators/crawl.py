@@ -13,7 +13,9 @@ them as they lie. Each round writes only the pages that are new to a seed, and t
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,12 +24,15 @@ from pyspark.sql import functions as F
 from gleanspark import model
 from gleanspark.checkpoints import with_checkpoints
 from gleanspark.functions import urls
-from gleanspark.operators.fetch import with_target
+from gleanspark.operators.fetch import page_links, with_target
 
 AHEAD = 32
 TRACE = "seed_pos long, kind string, pos long, url string, domain string, parent_url string, depth int, is_deadend boolean, hit string, fetched boolean"
 
 
+LINKS = "array<struct<link_pos: int, url: string, domain: string, hit: string, unsupported: boolean>>"
+
+
 class Walk:
     """One seed's traversal over `links` {page url: [(url, domain, hit, unsupported)]}; a page known to be missing has None."""
 
@@ -124,15 +129,43 @@ def crawl(seeds: DataFrame, links: DataFrame, pages: DataFrame, max_depth: int =
     a seed listed twice walks twice.
     """
     known = links_by_page(links, pages)
+    return _walked(seeds, known.limit(0), lambda asked: asked.join(known, "page_url", "left").select("seed_pos", "page_url", "links"), max_depth, max_visits)
+
+
+def crawl_live(seeds: DataFrame, keywords: Sequence[str], fetch_pages: Callable[[DataFrame], DataFrame], max_depth: int = 2, max_visits: int = 200, max_duration: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the trace as `crawl` gives it, the pages that were fetched on the way).
+
+    `fetch_pages` takes (url) rows and gives (url, html) of those that are pages; each url is fetched once for all seeds and
+    kept. After `max_duration` seconds no further round is begun, and walks end with what they have.
+    """
+    with_checkpoints(seeds.sparkSession)
+    kept: list[DataFrame] = []
+
+    def answer(asked: DataFrame) -> DataFrame:
+        wanted = asked.select(F.col("page_url").alias("url")).distinct()
+        for pages in kept:
+            wanted = wanted.join(pages.select("url"), "url", "left_anti")
+        kept.append(wanted.join(fetch_pages(wanted).dropDuplicates(["url"]), "url", "left").select("url", "html").checkpoint())
+        known = reduce(DataFrame.unionAll, kept).where("html is not null").join(asked.select(F.col("page_url").alias("url")).distinct(), "url", "left_semi")
+        return asked.join(links_by_page(page_links(known, keywords), known), "page_url", "left").select("seed_pos", "page_url", "links")
+
+    nothing = seeds.sparkSession.createDataFrame([], f"page_url string, links {LINKS}")
+    trace = _walked(seeds, nothing, answer, max_depth, max_visits, None if max_duration is None else time.monotonic() + max_duration)
+    pages = reduce(DataFrame.unionAll, kept).where("html is not null") if kept else seeds.sparkSession.createDataFrame([], "url string, html string")
+    return trace, pages
+
+
+def _walked(seeds: DataFrame, nothing: DataFrame, answer: Callable[[DataFrame], DataFrame], max_depth: int, max_visits: int, deadline: float | None = None) -> DataFrame:
+    """Rounds until no walk asks for more; `answer` gives (seed_pos, page_url, links) of what is asked, null links for pages that cannot be had."""
     seeds = seeds.select("seed_pos", "start_url", "start_domain").checkpoint()
-    fetched = known.limit(0).select(F.lit(0).cast("long").alias("seed_pos"), "page_url", "links")
+    fetched = nothing.select(F.lit(0).cast("long").alias("seed_pos"), "page_url", "links")
     ask, trace = _asked(max_depth, max_visits), _traced(max_depth, max_visits)
     while True:
         grouped = seeds.groupBy("seed_pos").cogroup(fetched.groupBy("seed_pos"))
         asked = grouped.applyInPandas(ask, "seed_pos long, page_url string").checkpoint()
-        if asked.isEmpty():
+        if asked.isEmpty() or (deadline is not None and time.monotonic() > deadline):
             return grouped.applyInPandas(trace, TRACE).checkpoint()
-        fetched = fetched.unionAll(asked.join(known, "page_url", "left").select("seed_pos", "page_url", "links").checkpoint())
+        fetched = fetched.unionAll(answer(asked).checkpoint())
 
 
 def results_of(trace: DataFrame) -> DataFrame:

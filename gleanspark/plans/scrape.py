@@ -109,3 +109,20 @@ def build_pipeline(spark: SparkSession, config: Config) -> tuple[Pipeline, DataF
     keywords = files.read_keywords(spark, f"{given.input_dir}/{given.keywords}")
     crawler = Crawl(keywords, limits.max_depth, limits.max_visits, limits.use_sitemap)
     return Pipeline(crawler, BodyText(), config.output.batchsize, config.requests.useragent), seeds, run_directory(config.output.output_dir, given.url_offset)
+
+
+def run_live(pipeline: Pipeline, seeds: DataFrame, config: Config, sitemap: DataFrame | None = None, robots: DataFrame | None = None, delay: float = snapshots.DELAY) -> DataFrame:
+    """`Pipeline.run` on the web: pages are fetched as the settings have it, those on the way once; targets of the sitemap afterwards."""
+
+    def fetch_pages(wanted: DataFrame) -> DataFrame:
+        allowed = wanted if robots is None else fetch.without_disallowed(wanted, snapshots.robots_by_domain(robots), pipeline.useragent)
+        tries = snapshots.live_attempts(allowed, config.requests, delay)
+        return fetch.resolve_attempts(tries, config.requests.max_retries).where("html is not null").select("url", "html").checkpoint()
+
+    trace, pages = None, files.empty(seeds.sparkSession, "url string, html string")
+    limits = config.crawl
+    if isinstance(pipeline.crawler, Crawl) and limits.max_visits > 0:
+        trace, pages = crawling.crawl_live(seeds, pipeline.crawler.keywords, fetch_pages, limits.max_depth, limits.max_visits, limits.max_duration)
+    found = pipeline.crawler.results(seeds, snapshots.pages_of(pages), sitemap, trace)
+    more = found.select("url").distinct().join(pages.select("url"), "url", "left_anti")
+    return pipeline.run(seeds, snapshots.pages_of(pages.unionByName(fetch_pages(more))), sitemap, None, trace)

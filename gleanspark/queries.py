@@ -7,11 +7,13 @@ ids in the same way on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleanspark.checkpoints import with_checkpoints
 from gleanspark.functions import texts, urls
 from gleanspark.functions.keywords import first_hit
 from gleanspark.functions.markup import parse_pages
@@ -211,6 +213,20 @@ def seed_slice(spark, d):
     return files.seeds_of(_host_lines(spark, d), 5, 20)
 
 
+def _folder(spark) -> str:
+    """A new folder for files that a query writes to read them."""
+    with_checkpoints(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/files-{uuid.uuid4().hex}"
+
+
+@_query(f"WITH {_HOSTS} SELECT pos AS seed_pos, domain AS base_url, 'https://' || domain AS start_url, domain AS start_domain FROM hosts")
+def seed_list_file(spark, d):
+    """The seed list from a text file."""
+    folder = _folder(spark)
+    _host_lines(spark, d).orderBy("pos").select(F.concat("line", F.lit(" \t")).alias("value")).coalesce(1).write.text(folder)
+    return files.seeds_of(files.read_lines(spark, f"{folder}/*.txt"))
+
+
 @_query(f"""WITH {_P}, raw AS (SELECT url AS raw FROM p UNION SELECT domain FROM p UNION SELECT 'HTTP://' || domain FROM p)
 SELECT raw, CASE WHEN starts_with(raw, 'http://') OR starts_with(raw, 'https://') THEN raw ELSE 'https://' || raw END AS start_url FROM raw""")
 def normalize_start_url(spark, d):
@@ -325,6 +341,18 @@ def robots_filter(spark, d):
     return fetch.with_robots(_pages(spark, d).select("page_id", "url", "domain"), robots, AGENT).select("page_id", "url", "allowed")
 
 
+@_query(f"WITH {_P}, {_SITEMAP} SELECT domain, sm_pos, rtrim(url) AS url FROM sitemap")
+def sitemap_files(spark, d):
+    """Sitemaps that robots files declare: an index for each host, that leads to one file for each of its pages, in order."""
+    listed = _sitemap(spark, d).withColumn("file_url", F.format_string("https://%s/map%06d.xml", "domain", "sm_pos"))
+    loc = lambda c: F.concat(F.lit("<loc>"), F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("</loc>"))
+    leaves = listed.select("file_url", F.concat(F.lit("<urlset><url>"), loc(F.col("url")), F.lit("</url></urlset>")).alias("xml"))
+    entries = F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("<sitemap>"), loc(F.col("file_url")), F.lit("</sitemap>")))), "")
+    index = listed.groupBy("domain").agg(entries.alias("e")).select(F.format_string("https://%s/index.xml", "domain").alias("file_url"), F.concat(F.lit("<sitemapindex>"), "e", F.lit("</sitemapindex>")).alias("xml"))
+    robots = listed.select("domain").distinct().select("domain", F.lit(200).alias("status"), F.concat(F.lit("User-agent: *\nSitemap: https://"), "domain", F.lit("/index.xml")).alias("robots_txt"))
+    return snapshots.sitemap_from_files(robots, leaves.unionByName(index))
+
+
 @_query(f"WITH {_P}, {_SITEMAP} SELECT domain, sm_pos, url FROM sitemap")
 def sitemap_urls(spark, d):
     return _sitemap(spark, d)
@@ -492,6 +520,15 @@ def scan_valid_content(spark, d):
     return kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("content")).alias("n_chars"))
 
 
+@_query(f"WITH t AS (SELECT doc_id, source, {_SPOILED} AS t FROM documents) SELECT source AS base_url, doc_id::VARCHAR AS url, length(t)::BIGINT AS n_chars FROM t WHERE {_VALID}")
+def results_folder(spark, d):
+    """Result rows written by batch and read back from the folder, valid ones alone."""
+    folder = _folder(spark)
+    made = _spoiled(spark, d).select(F.col("source").alias("base_url"), F.col("doc_id").cast("string").alias("url"), F.lit(None).cast("string").alias("first_keyword_hit"), "content", F.expr("int(doc_id % 7)").alias("batch"))
+    files.write_results(made, f"{folder}/run")
+    return files.read_results(spark, folder).select("base_url", "url", F.length("content").cast("long").alias("n_chars"))
+
+
 @_query(f"WITH RECURSIVE {_SCRAPED} SELECT DISTINCT base_url FROM scraped")
 def distinct_base_urls(spark, d):
     return _scraped(spark, d).select("base_url").distinct()
@@ -512,6 +549,25 @@ def log_lines(spark, d):
     return _log_rows(spark, d)
 
 
+@_query(f"WITH {_LOGS} SELECT * FROM by_url")
+def logs_folder(spark, d):
+    """Log lines written as files of a folder and read back, then put to their sites; a fourth file is no log."""
+    folder = _folder(spark)
+    for i in range(3):
+        rows_ = _log_rows(spark, d).where(F.col("file") == f"run{i}.log").orderBy("line_no").select(F.col("line").alias("value"))
+        rows_.coalesce(1).write.text(f"{folder}/run{i}")
+        _renamed(spark, f"{folder}/run{i}", "part.log")
+    return logs.visits_by_url(logs.sessions(files.read_logs(spark, folder)))
+
+
+def _renamed(spark, folder: str, name: str) -> None:
+    """Gives the one text file of a folder a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in system.globStatus(path(f"{folder}/part-*")):
+        system.rename(part.getPath(), path(f"{folder}/{name}"))
+
+
 @_query(f"WITH {_LOGS} SELECT * FROM sess")
 def log_sessionize(spark, d):
     return logs.sessions(_log_rows(spark, d))

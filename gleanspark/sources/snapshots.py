@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gleanspark import model
+from gleanspark.config import Requests
 
 # Fixed value: the page that stands in for any other.
 CONSTANT_PAGE = "\n<!doctype html>\n<html>\n<body>Hello</body>\n</html>"
@@ -129,31 +130,80 @@ class _LiveReader(DataSourceReader):
         return [_Domain(d, u) for d, u in by.items()] or [_Domain("", [])]
 
     def read(self, partition: _Domain) -> Iterator[tuple]:
-        import random
-        import time
-        import urllib.error
-        import urllib.request
-
         get = self.options.get
-        headers = {"User-Agent": get("useragent", "gleanspark/0.1"), "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en;q=0.9,*;q=0.5", "Accept-Encoding": "identity"}
-        timeout = float(get("timeout_connect", "3")) + float(get("timeout_read", "7"))
-        for i, url in enumerate(partition.urls):
-            if i:
-                time.sleep(float(get("delay", "2")))
-            for attempt in range(1 + int(get("max_retries", "3"))):
-                if attempt:
-                    time.sleep(random.uniform(1, 5))
-                try:
-                    with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=timeout) as got:
-                        kind = got.headers.get("Content-Type", "")
-                        body = got.read().decode(got.headers.get_content_charset() or "utf-8", "replace") if "text/html" in kind else None
-                        yield url, attempt, got.status, kind, body
-                        break
-                except urllib.error.HTTPError as error:
-                    yield url, attempt, error.code, error.headers.get("Content-Type", ""), None
+        settings = Requests(get("useragent", Requests.useragent), float(get("timeout_connect", Requests.timeout_connect)), float(get("timeout_read", Requests.timeout_read)), int(get("max_retries", Requests.max_retries)))
+        yield from requested(partition.urls, settings, float(get("delay", DELAY)))
+
+
+#: Seconds between two urls of one domain.
+DELAY = 2.0
+
+
+def requested(urls: Iterable[str], settings: Requests, delay: float) -> Iterator[tuple]:
+    """(url, attempt, status, content_type, html) of every try, one url after another; failures have a null status."""
+    import random
+    import time
+    import urllib.error
+    import urllib.request
+
+    headers = {"User-Agent": settings.useragent, "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en;q=0.9,*;q=0.5", "Accept-Encoding": "identity"}
+    for i, url in enumerate(urls):
+        if i:
+            time.sleep(delay)
+        for attempt in range(1 + settings.max_retries):
+            if attempt:
+                time.sleep(random.uniform(1, 5))
+            try:
+                with _opened(urllib.request.Request(url, headers=headers), settings) as got:
+                    kind = got.headers.get("Content-Type", "")
+                    body = got.read().decode(got.headers.get_content_charset() or "utf-8", "replace") if "text/html" in kind else None
+                    yield url, attempt, got.status, kind, body
                     break
-                except (OSError, ValueError):
-                    yield url, attempt, None, None, None
+            except urllib.error.HTTPError as error:
+                yield url, attempt, error.code, error.headers.get("Content-Type", ""), None
+                break
+            except (OSError, ValueError):
+                yield url, attempt, None, None, None
+
+
+def _opened(request, settings: Requests):
+    """The answer to a request: connecting may take one time, each read another."""
+    import http.client
+    import urllib.request
+
+    def patient(kind):
+        class Connection(kind):
+            def connect(self):
+                super().connect()
+                self.sock.settimeout(settings.timeout_read)
+
+        return Connection
+
+    class Http(urllib.request.HTTPHandler):
+        def http_open(self, req):
+            return self.do_open(patient(http.client.HTTPConnection), req)
+
+    class Https(urllib.request.HTTPSHandler):
+        def https_open(self, req):
+            return self.do_open(patient(http.client.HTTPSConnection), req, context=self._context)
+
+    return urllib.request.build_opener(Http, Https).open(request, timeout=settings.timeout_connect)
+
+
+def live_attempts(urls: DataFrame, settings: Requests, delay: float = DELAY) -> DataFrame:
+    """Fetches (url) rows as they are on the web: every try as a row. A domain's urls are fetched one after another, in one task."""
+    from gleanspark.functions.urls import netloc
+
+    names = ["url", "attempt", "status", "content_type", "html"]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+
+    def run(batches):
+        for batch in batches:
+            for row in requested(batch.column("url").to_pylist(), settings, delay):
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
+
+    dealt = urls.select("url", netloc(F.col("url")).alias("_domain")).where("url is not null").repartition("_domain")
+    return dealt.sortWithinPartitions("_domain", "url").select("url").mapInArrow(run, model.ATTEMPTS)
 
 
 def register(spark: SparkSession) -> None:

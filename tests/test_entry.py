@@ -31,3 +31,13 @@ def test_entry_does_without_the_corpus_operators(tmp_path):
     assert out.returncode == 0, out.stderr
     n, m, corpus = out.stdout.split()
     assert int(n) > 30 and int(m) == int(n) and corpus == "False"
+
+
+def test_faults_in_the_corpus_operators_come_to_light(tmp_path):
+    for name in ("__spark_entry__.py", "gleanspark"):
+        subprocess.run(["cp", "-r", ROOT / name, tmp_path], check=True)
+    if not (tmp_path / "gleanspark/llm/__init__.py").exists():
+        return
+    (tmp_path / "gleanspark/llm/queries.py").write_text("import no_such_library")
+    out = subprocess.run([sys.executable, "-B", "-c", "import __spark_entry__"], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert out.returncode != 0 and "no_such_library" in out.stderr

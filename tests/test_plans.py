@@ -144,6 +144,38 @@ def test_live_pages(spark):
     assert sorted((r.url.rsplit("/", 1)[1], r.status, r.html) for r in rows_) == [("a", 200, "<p>hi</p>"), ("gone", 404, None), ("image", 200, None)]
 
 
+def test_live_crawl(spark):
+    """A crawl that fetches as it goes: every page once, robots files kept, rounds end when the time is over."""
+    html = {"/": '<a href="/job/1">1</a><a href="/a">a</a><a href="/private/job">p</a>', "/job/1": "<p>one</p><nav><a href='/job/2'>2</a></nav>", "/job/2": "<p>two</p>", "/a": "<p>a</p>", "/job/3": "<p>three</p>", "/private/job": "<p>closed</p>"}
+    asked = []
+
+    class Site(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            self.send_response(200 if self.path in html else 404)
+            self.send_header("Content-Type", "text/html")
+            self.end_headers()
+            self.wfile.write(html.get(self.path, "").encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    host = f"127.0.0.1:{server.server_port}"
+    seeds = spark.createDataFrame([(i, host, f"http://{host}/", host) for i in range(2)], model.SEEDS)
+    robots = spark.createDataFrame([(host, 200, "User-agent: *\nDisallow: /private")], model.ROBOTS)
+    sitemap = spark.createDataFrame([(host, 0, f"http://{host}/job/3"), (host, 1, f"http://{host}/job/1")], model.SITEMAP)
+    settings = config.parse_config("requests:\n  max_retries: 0\n  timeout_connect: 2\n")
+    pipeline = scrape.Pipeline(scrape.Crawl(["job"]), useragent="glean/1")
+    got = scrape.run_live(pipeline, seeds, settings, sitemap, robots, delay=0).collect()
+    assert sorted(r.content for r in got) == ["one", "one", "three", "three", "two", "two"]
+    assert len(asked) == len(set(asked)) and "/private/job" not in asked
+    none = config.parse_config("requests:\n  max_retries: 0\ncrawl:\n  max_duration: -1\n")
+    assert [r.content for r in scrape.run_live(pipeline, seeds.limit(1), none, None, robots, delay=0).collect()] == []
+    server.shutdown()
+
+
 def test_sitemap_files(spark):
     robots = spark.createDataFrame([("s.nl", 200, "User-agent: *\nSitemap: https://s.nl/i.xml\n sitemap:https://s.nl/b.xml\nSitemap: https://s.nl/none.xml"), ("x.nl", 404, "Sitemap: https://x.nl/a.xml")], model.ROBOTS)
     page = lambda *urls: "<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'>" + "".join(f"<url><loc> {u} </loc></url>" for u in urls) + "</urlset>"
