@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents to sampled pieces, in five stages that are each written and read again."""
+"""The corpus pipeline: documents to sampled pieces, in five stages that are each written and read again.
+
+Every stage takes null texts as empty and null ids as they come, texts of any length, tables without rows, and columns of
+any names beside doc_id and text; it keeps repeated rows but for the second, which keeps one row of each group. What each does
+with ties is said in its operator's module.
+"""
 
 from __future__ import annotations
 
@@ -8,23 +13,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gleanspark.checkpoints import with_checkpoints
 from gleanspark.llm import decontaminate, sampled_pieces, secret_scan, simhash, toxicity
-from gleanspark.llm.components import with_checkpoints
 from gleanspark.llm.queries import PIECES
 
 
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the model, fitted to `labels`, predicts to be toxic."""
+    """Drops the documents that the model, fitted to `labels`, predicts to be toxic; without labels of both classes none or all."""
     return toxicity.drop_toxic(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
+    """Keeps one document of each group of near copies, that with the least id; texts without words are one group."""
     return simhash.keep_one(docs)
 
 
 def unseen_by_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which a benchmark window occurs."""
+    """Drops the documents in which a benchmark window occurs; a document without words stays."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -51,14 +56,23 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
+def _removed(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; what lies between them goes to the shared checkpoint folder."""
+    """All stages over `documents`; what lies between them goes to the shared checkpoint folder, and goes away when the next stage has been written."""
     with_checkpoints(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs.write.parquet(f"{folder}/{i}-{name}")
-            docs = spark.read.parquet(f"{folder}/{i}-{name}")
+            made = f"{folder}/{i}-{name}"
+            docs.write.parquet(made)
+            docs = spark.read.parquet(made)
+            if last:
+                _removed(spark, last)
+            last = made
     return docs
