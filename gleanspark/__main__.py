@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> str:
     spark = SparkSession.builder.appName("gleanspark").getOrCreate()
     logger = runlog.start(settings.output, settings.input.url_offset)
     pipeline, seeds, folder = build_pipeline(spark, settings)
+    runlog.begun(logger, pipeline.crawler.keywords, pipeline.useragent)
     read = lambda path: spark.read.parquet(path) if path else None
     pages, robots = snapshots.pages_of(read(given.pages)), read(given.robots)
     sitemap = read(given.sitemap)

@@ -15,7 +15,6 @@ from __future__ import annotations
 import heapq
 import time
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from gleanspark import model
 from gleanspark.checkpoints import with_checkpoints
 from gleanspark.functions import urls
-from gleanspark.operators.fetch import page_links, with_target
+from gleanspark.operators.fetch import FetchCache, page_links, with_target
 
 AHEAD = 32
 TRACE = "seed_pos long, kind string, pos long, url string, domain string, parent_url string, depth int, is_deadend boolean, hit string, fetched boolean"
@@ -132,27 +131,19 @@ def crawl(seeds: DataFrame, links: DataFrame, pages: DataFrame, max_depth: int =
     return _walked(seeds, known.limit(0), lambda asked: asked.join(known, "page_url", "left").select("seed_pos", "page_url", "links"), max_depth, max_visits)
 
 
-def crawl_live(seeds: DataFrame, keywords: Sequence[str], fetch_pages: Callable[[DataFrame], DataFrame], max_depth: int = 2, max_visits: int = 200, max_duration: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """(the trace as `crawl` gives it, the pages that were fetched on the way).
+def crawl_live(seeds: DataFrame, keywords: Sequence[str], cache: FetchCache, max_depth: int = 2, max_visits: int = 200, max_duration: float | None = None) -> DataFrame:
+    """The trace as `crawl` gives it, of pages that the cache fetches as they are asked for, each once for all seeds.
 
-    `fetch_pages` takes (url) rows and gives (url, html) of those that are pages; each url is fetched once for all seeds and
-    kept. After `max_duration` seconds no further round is begun, and walks end with what they have.
+    After `max_duration` seconds no further round is begun, and walks end with what they have.
     """
     with_checkpoints(seeds.sparkSession)
-    kept: list[DataFrame] = []
 
     def answer(asked: DataFrame) -> DataFrame:
-        wanted = asked.select(F.col("page_url").alias("url")).distinct()
-        for pages in kept:
-            wanted = wanted.join(pages.select("url"), "url", "left_anti")
-        kept.append(wanted.join(fetch_pages(wanted).dropDuplicates(["url"]), "url", "left").select("url", "html").checkpoint())
-        known = reduce(DataFrame.unionAll, kept).where("html is not null").join(asked.select(F.col("page_url").alias("url")).distinct(), "url", "left_semi")
+        known = cache.ask(asked.select(F.col("page_url").alias("url")))
         return asked.join(links_by_page(page_links(known, keywords), known), "page_url", "left").select("seed_pos", "page_url", "links")
 
     nothing = seeds.sparkSession.createDataFrame([], f"page_url string, links {LINKS}")
-    trace = _walked(seeds, nothing, answer, max_depth, max_visits, None if max_duration is None else time.monotonic() + max_duration)
-    pages = reduce(DataFrame.unionAll, kept).where("html is not null") if kept else seeds.sparkSession.createDataFrame([], "url string, html string")
-    return trace, pages
+    return _walked(seeds, nothing, answer, max_depth, max_visits, None if max_duration is None else time.monotonic() + max_duration)
 
 
 def _walked(seeds: DataFrame, nothing: DataFrame, answer: Callable[[DataFrame], DataFrame], max_depth: int, max_visits: int, deadline: float | None = None) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 from urllib.parse import unquote
 from urllib.robotparser import RobotFileParser
 
@@ -158,3 +159,29 @@ def with_target(rows: DataFrame, keywords: Sequence[str], url: str = "url") -> D
     """Adds domain and hit (empty for a miss)."""
     rows = rows.withColumn("domain", urls.netloc(F.col(url)))
     return rows.withColumn("hit", first_hit(F.col("domain"), urls.path(F.col(url)), keywords))
+
+
+class FetchCache:
+    """Pages that have been fetched, and urls in vain: written out, and asked before anything is fetched again."""
+
+    def __init__(self, fetch_pages: Callable[[DataFrame], DataFrame]):
+        """`fetch_pages` takes (url) rows and gives (url, html) of those that are pages."""
+        self.fetch_pages = fetch_pages
+        self.tables: list[DataFrame] = []
+
+    def ask(self, wanted: DataFrame) -> DataFrame:
+        """(url, html) of the wanted urls (url) that are pages; only what is new is fetched."""
+        wanted = wanted.select("url").distinct()
+        new = wanted
+        for table in self.tables:
+            new = new.join(table.select("url"), "url", "left_anti")
+        self.tables.append(new.join(self.fetch_pages(new).dropDuplicates(["url"]), "url", "left").select("url", "html").checkpoint())
+        return self.pages().join(wanted, "url", "left_semi")
+
+    def pages(self) -> DataFrame:
+        """All pages that have been fetched since the start or the last reset; none before the first."""
+        return reduce(DataFrame.unionAll, self.tables).where("html is not null")
+
+    def reset(self) -> None:
+        """Forgets what has been fetched."""
+        self.tables = []

@@ -40,3 +40,13 @@ def run_summary(scraped: DataFrame, by_url: DataFrame, seeds: DataFrame) -> Data
     for other in (tried, per_site):
         out = out.join(other.select("*", key), "_one")
     return out.drop("_one")
+
+
+def preview(scraped: DataFrame, rows: int = 2, characters: int = 100) -> DataFrame:
+    """The first rows by site and url, with the beginning of their text."""
+    return scraped.orderBy("base_url", "url").limit(rows).withColumn("content", F.left("content", F.lit(characters)))
+
+
+def write_counts(histogram: DataFrame, path: str) -> None:
+    """The histogram as one CSV file with a header: a row for each number of pages that occurs."""
+    histogram.coalesce(1).sortWithinPartitions("pages").write.mode("overwrite").option("header", True).csv(path)

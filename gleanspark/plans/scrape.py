@@ -119,10 +119,9 @@ def run_live(pipeline: Pipeline, seeds: DataFrame, config: Config, sitemap: Data
         tries = snapshots.live_attempts(allowed, config.requests, delay)
         return fetch.resolve_attempts(tries, config.requests.max_retries).where("html is not null").select("url", "html").checkpoint()
 
-    trace, pages = None, files.empty(seeds.sparkSession, "url string, html string")
-    limits = config.crawl
+    cache, trace, limits = fetch.FetchCache(fetch_pages), None, config.crawl
     if isinstance(pipeline.crawler, Crawl) and limits.max_visits > 0:
-        trace, pages = crawling.crawl_live(seeds, pipeline.crawler.keywords, fetch_pages, limits.max_depth, limits.max_visits, limits.max_duration)
-    found = pipeline.crawler.results(seeds, snapshots.pages_of(pages), sitemap, trace)
-    more = found.select("url").distinct().join(pages.select("url"), "url", "left_anti")
-    return pipeline.run(seeds, snapshots.pages_of(pages.unionByName(fetch_pages(more))), sitemap, None, trace)
+        trace = crawling.crawl_live(seeds, pipeline.crawler.keywords, cache, limits.max_depth, limits.max_visits, limits.max_duration)
+    nothing = snapshots.pages_of(files.empty(seeds.sparkSession, "url string, html string"))
+    found = cache.ask(pipeline.crawler.results(seeds, nothing, sitemap, trace).select("url"))
+    return pipeline.run(seeds, snapshots.pages_of(found), sitemap, None, trace)

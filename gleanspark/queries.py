@@ -544,6 +544,21 @@ def pages_histogram(spark, d):
     return report.pages_histogram(_scraped(spark, d))
 
 
+@_query(f"WITH RECURSIVE {_SCRAPED} SELECT base_url, url, first_keyword_hit, left(content, 100) AS content, batch FROM scraped ORDER BY base_url, url LIMIT 2")
+def preview(spark, d):
+    """The two rows are the feature."""
+    return report.preview(_scraped(spark, d))
+
+
+@_query("WITH n AS (SELECT count(*) AS n_pages FROM documents GROUP BY source) SELECT n_pages::VARCHAR AS pages, count(*)::VARCHAR AS counts FROM n GROUP BY n_pages")
+def counts_file(spark, d):
+    """A histogram written as CSV and read back: how many sources have how many documents."""
+    folder = _folder(spark)
+    scraped = spark.read.parquet(f"{d}/documents.parquet").select(F.col("source").alias("base_url"), F.col("doc_id").cast("string").alias("url"))
+    report.write_counts(report.pages_histogram(scraped), folder)
+    return spark.read.option("header", True).csv(folder)
+
+
 @_query(f"WITH {_LOGS} SELECT * FROM lines")
 def log_lines(spark, d):
     return _log_rows(spark, d)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import datetime
 from pathlib import Path
 
@@ -46,3 +47,8 @@ def visited(seeds: DataFrame, trace: DataFrame | None) -> DataFrame:
         return seeds.select("base_url", F.lit(0).alias("visits"), "seed_pos").orderBy("seed_pos")
     done = trace.where("kind = 'visit'").groupBy("seed_pos").agg(F.count(F.lit(1)).alias("visits"))
     return seeds.join(done, "seed_pos", "left").select("base_url", F.coalesce("visits", F.lit(0)).alias("visits"), "seed_pos").orderBy("seed_pos")
+
+
+def begun(logger: logging.Logger, keywords: Sequence[str], useragent: str) -> None:
+    """What the run looks for, in order, and under which name."""
+    logger.info("Keywords: %s; agent: %s", ", ".join(keywords), useragent)

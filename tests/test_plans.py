@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanspark import config, model
-from gleanspark.operators import logs, rows
+from gleanspark.operators import fetch, logs, rows
 from gleanspark.plans import report, scrape
 from gleanspark.sources import files, snapshots
 from gleanspark.streaming import pages as streaming
@@ -171,6 +171,12 @@ def test_live_crawl(spark):
     got = scrape.run_live(pipeline, seeds, settings, sitemap, robots, delay=0).collect()
     assert sorted(r.content for r in got) == ["one", "one", "three", "three", "two", "two"]
     assert len(asked) == len(set(asked)) and "/private/job" not in asked
+    cache = fetch.FetchCache(lambda wanted: snapshots.live_attempts(wanted, settings.requests, 0).where("status = 200").select("url", "html"))
+    wanted = spark.createDataFrame([(f"http://{host}/a",), (f"http://{host}/gone",), (f"http://{host}/a",)], "url string")
+    before = len(asked)
+    assert [r.html for _ in range(2) for r in cache.ask(wanted).collect()] == ["<p>a</p>"] * 2 and len(asked) == before + 2
+    cache.reset()
+    assert cache.ask(wanted).count() == 1 and len(asked) == before + 4
     none = config.parse_config("requests:\n  max_retries: 0\ncrawl:\n  max_duration: -1\n")
     assert [r.content for r in scrape.run_live(pipeline, seeds.limit(1), none, None, robots, delay=0).collect()] == []
     server.shutdown()
