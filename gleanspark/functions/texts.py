@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Control characters, but not tab, newline, form feed and carriage return.
+# Fixed value: control characters, but not tab, newline, form feed and carriage return.
 CONTROL = r"[\x00-\x08\x0B\x0E-\x1F\x7F]"
 
 
