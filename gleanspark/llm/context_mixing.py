@@ -16,8 +16,8 @@ by one, a whole piece of about 16 words can be foretold by what followed the las
 What is learned covers every training document (crc32 of the id not 0 modulo 10). The counts of words and the table of
 passages are exact, grow with the input and are joined. The hashed contexts share 2^TABLE_BITS slots a table, whatever the
 input: they are for what is frequent. Tasks, COUNTING_TASKS for each core, add up tables and send them in compressed segments,
-which are summed by segment. The mixers are then fitted to all training documents in one online pass by task, each
-bit predicted from the counts of all others; the tasks' weights are averaged by the bits that each gate has seen, their
+which are summed by segment. The mixers are then fitted to all training documents in one online pass by task, those of spelled words to each
+distinct word; each bit is predicted from the counts of all others; the tasks' weights are averaged by the bits that each gate has seen, their
 tables added. A training document does not count for itself in passages nor in words outside the head.
 
 The base score needs every word's exact count: those of the HEAD words go to all tasks, a bounded table; the
@@ -30,6 +30,7 @@ gives an empty result; extra columns are ignored; words of one class of counts e
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -55,7 +56,7 @@ TABLES = (*WORD_TABLES, *BYTE_TABLES)
 TRUST = "trust"
 SEGMENT = 1 << 16
 #: Tasks for each core that count tables; every task sends tables of a fixed size.
-COUNTING_TASKS = 2
+COUNTING_TASKS = 1
 CHUNK = 1 << 14
 MEMO_WORDS = 300_000
 FLUSH_WORDS = 300_000
@@ -71,6 +72,19 @@ RECENT, MOST_AHEAD = 16, 6.0
 _MIX = np.uint32(0x9E3779B1)
 
 
+class Sent:
+    """A value that is compressed on its way to the workers: its tables have a fixed size, but may hold little."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def __getstate__(self) -> bytes:
+        return zlib.compress(pickle.dumps(self.value, 5), 1)
+
+    def __setstate__(self, state: bytes) -> None:
+        self.value = pickle.loads(zlib.decompress(state))
+
+
 def fold(id_col: str):
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(FOLDS))
 
@@ -423,13 +437,13 @@ def _tables(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast)
         counted = _Counts(WORD_TABLES)
         for batch in batches:
             for part in slices(batch, text_col, SLICE_BYTES):
-                counted.add(Stream(code.value, part.column(text_col).to_pylist()))
+                counted.add(Stream(code.value.value, part.column(text_col).to_pylist()))
         yield from counted.out()
         del counted
         trim()
 
     def of_words(batches):
-        counted, known = _Counts(BYTE_TABLES), code.value.number
+        counted, known = _Counts(BYTE_TABLES), code.value.value.number
         for batch in batches:
             rare = [w for w in (w.encode() for w in batch.column("word").to_pylist()) if w not in known]
             if rare:
@@ -604,12 +618,13 @@ class Learner:
         self.bits = {kind: np.zeros(m.weights.shape[1]) for kind, m in self.model.mixers.items()}
 
     def add(self, texts: list[str | None]) -> None:
-        stream = Stream(self.model.code, texts)
-        self._learn("words", stream)
-        if stream.rare:
-            # Each place of a rare word counts; its spelling was counted once.
-            at = stream.token[stream.token > stream.code.start] - stream.code.start - 1
-            self._learn("bytes", Spelling([stream.rare[i] for i in at.tolist()]))
+        """Learns the bits of all words of the head, ends and escapes."""
+        self._learn("words", Stream(self.model.code, texts))
+
+    def spell(self, words: list[bytes]) -> None:
+        """Learns the bits of spelled words; spelling is for new words, so each distinct one counts once."""
+        if words:
+            self._learn("bytes", Spelling(words))
 
     def _learn(self, kind: str, source) -> None:
         mixer, seen = self.model.mixers[kind], self.bits[kind]
@@ -649,23 +664,33 @@ def fit(code: Code, counts: dict[str, np.ndarray], texts: list[str]) -> Model:
     tables.trust[:] = counted.trust
     learner = Learner(code, tables)
     learner.add(texts)
+    learner.spell(stream.rare)
     return _fitted(code, tables, learner.rows())
 
 
-def _learned(docs: DataFrame, text_col: str, code: Broadcast, tables: Tables) -> list[tuple[str, int, np.ndarray]]:
-    """The sums of `Learner.rows` of one pass by task over all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(tables)
+def _learned(docs: DataFrame, text_col: str, counts: DataFrame, code: Broadcast, tables: Tables) -> list[tuple[str, int, np.ndarray]]:
+    """The sums of `Learner.rows` of one pass by task over all documents and all distinct words outside the head."""
+    sent = docs.sparkSession.sparkContext.broadcast(Sent(tables))
 
-    def run(batches):
+    def of_texts(batches):
         learner = None
         for batch in batches:
             for part in slices(batch, text_col, SLICE_BYTES):
-                learner = learner or Learner(code.value, sent.value)
+                learner = learner or Learner(code.value.value, sent.value.value)
                 learner.add(part.column(text_col).to_pylist())
         yield from out(learner.rows() if learner else ())
         del learner
         trim()
 
+    def of_words(batches):
+        learner = None
+        for batch in batches:
+            learner = learner or Learner(code.value.value, sent.value.value)
+            learner.spell([w for w in (w.encode() for w in batch.column("word").to_pylist()) if w not in learner.model.code.number])
+        yield from out(learner.rows() if learner else ())
+        del learner
+        trim()
+
     def total(batches):
         sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
@@ -680,7 +705,8 @@ def _learned(docs: DataFrame, text_col: str, code: Broadcast, tables: Tables) ->
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(gates, pa.int32()), pa.array([x.tobytes() for x in data], pa.binary())], names=["kind", "gate", "data"])
 
     schema = "kind string, gate int, data binary"
-    made = docs.select(text_col).mapInArrow(run, schema).repartition("kind", "gate").mapInArrow(total, schema).toArrow()
+    made = docs.select(text_col).mapInArrow(of_texts, schema).unionAll(counts.where("word is not null").select("word").mapInArrow(of_words, schema))
+    made = made.repartition("kind", "gate").mapInArrow(total, schema).toArrow()
     sent.unpersist()
     return [(kind.as_py(), gate.as_py(), np.frombuffer(data.as_py(), np.float64)) for kind, gate, data in zip(*made.columns, strict=True)]
 
@@ -692,9 +718,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     used = docs.select(id_col, text_col).where(F.coalesce(fold(id_col), F.lit(-1)) != HELD_OUT)
     counts = _counted(used, text_col).checkpoint()
     code = head_of(counts)
-    sent = context.broadcast(code)
+    sent = context.broadcast(Sent(code))
     tables = _tables(used, text_col, counts, sent)
-    model = _fitted(code, tables, _learned(used, text_col, sent, tables))
+    model = _fitted(code, tables, _learned(used, text_col, counts, sent, tables))
     return counts, model
 
 
@@ -750,11 +776,11 @@ def _scored(model: Model):
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row."""
     counts, model = train(docs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(Sent(model))
     code = model.code
     log_total, outside = float(np.log10(code.total + 0.1 * (code.distinct + 1))), float(code.counts[-1])
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scored = map_texts(named, ["id"], "text", f"id {dict(docs.dtypes)[id_col]}, {_SCORED}", lambda: _scored(sent.value))
+    scored = map_texts(named, ["id"], "text", f"id {dict(docs.dtypes)[id_col]}, {_SCORED}", lambda: _scored(sent.value.value))
     held_out = F.coalesce(fold("id") == HELD_OUT, F.lit(False))
     scored = scored.withColumn("held_out", held_out).withColumn("row", F.monotonically_increasing_id()).checkpoint()
     pieces = scored.select("row", (~F.col("held_out")).alias("taught"), F.posexplode("pieces").alias("piece", "p")).select("row", "piece", "taught", "p.*").where("place <> 0")
