@@ -726,8 +726,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
 #: What `_scored` makes of each text.
 _SCORED = (
-    "n_bytes long, n_tokens long, head_known long, head_base double, cost double, pieces array<struct<place: long, name: long, first: boolean, cost: double>>, "
-    "rest array<struct<piece: int, word: string, n: long, own: long, spelled: double>>"
+    "n_bytes long, n_tokens long, head_known long, head_base double, cost double, pieces array<struct<place: long, name: long, first: boolean, cost: float>>, "
+    "rest array<struct<piece: int, word: string, n: int, own: int, spelled: float>>"
 )
 
 
@@ -754,10 +754,10 @@ def _scored(model: Model):
         spelled = np.array(model.spelled(stream.rare, memo))[word] if len(word) else np.empty(0)
         words = pa.array(stream.rare, pa.binary()).cast(pa.string()).take(pa.array(word, pa.int64()))
         rest = pa.StructArray.from_arrays(
-            [pa.array(piece - begins[pieces.doc[piece]], pa.int32()), words, pa.array(times, pa.int64()), pa.array(own, pa.int64()), pa.array(spelled, pa.float64())], names=["piece", "word", "n", "own", "spelled"]
+            [pa.array(piece - begins[pieces.doc[piece]], pa.int32()), words, pa.array(times, pa.int32()), pa.array(own, pa.int32()), pa.array(spelled.astype(np.float32))], names=["piece", "word", "n", "own", "spelled"]
         )
         made = pa.StructArray.from_arrays(
-            [pa.array(pieces.place.view(np.int64)), pa.array(pieces.name.view(np.int64)), pa.array(pieces.firsts()), pa.array(np.add.reduceat(costs, pieces.start))], names=["place", "name", "first", "cost"]
+            [pa.array(pieces.place.view(np.int64)), pa.array(pieces.name.view(np.int64)), pa.array(pieces.firsts()), pa.array(np.add.reduceat(costs, pieces.start).astype(np.float32))], names=["place", "name", "first", "cost"]
         )
         ends = np.searchsorted(pieces.doc[piece], np.arange(len(texts) + 1), "left")
         return {
@@ -787,16 +787,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     predicted = predictions(pieces).checkpoint()
     likely = F.array(*(F.struct(F.lit(wrong).alias("wrong"), F.lit(right).alias("right")) for wrong, right in chances(predicted)))
     chance = F.get(likely, F.col("class"))
-    chosen = F.when(F.col("right"), chance["right"] - F.col("cost")).otherwise(chance["wrong"])
+    chosen = F.when(F.col("right"), chance["right"] - F.col("cost").cast("double")).otherwise(chance["wrong"])
     none = F.lit(0.0)
     rare = scored.select("row", "held_out", F.explode("rest").alias("r")).select("row", "held_out", "r.*").join(counts.withColumnRenamed("n", "met"), "word", "left")
     met = F.coalesce("met", F.lit(0))
     others = F.greatest(met - F.when(F.col("held_out"), 0).otherwise(F.col("own")), F.lit(0))
-    share = F.lit(code.met) * others / F.lit(max(1.0, outside)) + F.lit(1 - code.met) * F.pow(F.lit(10.0), F.col("spelled"))
+    share = F.lit(code.met) * others / F.lit(max(1.0, outside)) + F.lit(1 - code.met) * F.pow(F.lit(10.0), F.col("spelled").cast("double"))
     # What is too unlikely for a double is taken as spelled.
     spelled = F.col("n") * F.when(share > 0, F.log10(share)).otherwise(F.log10(F.lit(1 - code.met)) + F.col("spelled"))
     rare = rare.select(
-        "row", "piece", F.lit(None).cast("boolean").alias("right"), none.alias("chosen"), spelled.alias("spelled"), (F.col("n") * F.log10(met + 0.1)).alias("base"), F.when(met > 0, F.col("n")).otherwise(0).alias("known")
+        "row", "piece", F.lit(None).cast("boolean").alias("right"), none.alias("chosen"), spelled.alias("spelled"), (F.col("n") * F.log10(met + 0.1)).alias("base"), F.when(met > 0, F.col("n")).otherwise(0).cast("long").alias("known")
     )
     both = rare.unionByName(predicted.select("row", "piece", "right", chosen.alias("chosen"), none.alias("spelled"), none.alias("base"), F.lit(0).cast("long").alias("known"))).repartition("row")
     by_piece = both.groupBy("row", "piece").agg(F.coalesce(F.bool_or("right"), F.lit(False)).alias("right"), *(F.sum(c).alias(c) for c in ("chosen", "spelled", "base", "known")))
