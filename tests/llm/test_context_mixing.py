@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward
 
@@ -246,3 +247,41 @@ def test_pieces_are_cut_alike():
     assert a.start[0] == 0 and a.place[0] == 0 and (a.place[1:] != 0).all()
     one = Stream(code, ["", None, "a"]).pieces
     assert len(one.start) >= 3 and one.place[0] == one.place[1] == 0 and passages.CLASSES == 30
+
+
+def test_words_are_split_alike():
+    """Columns and plain Python agree on white space at the ends and inside, on what only Unicode calls a space, and on cut arrays."""
+    rng = np.random.default_rng(11)
+    signs = [" ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", " ", "\x00", "A", "Zz", "Ä", "\U0001f600"]
+    texts = ["", None, " ", "\n a", "a \t", *("".join(rng.choice(signs, rng.integers(0, 9))) for _ in range(500))]
+    for given, want in ((texts, texts), (pa.array(texts), texts), (pa.array(texts)[7:300], texts[7:300]), (["\ud800 a"], ["\ud800 a"]), ([], [])):
+        words, sizes = context_mixing.split_words(given)
+        split = [words_of(t) for t in want]
+        assert words.view(pa.binary()).to_pylist() == [w for s in split for w in s]
+        assert sizes.tolist() == [len(s) for s in split]
+
+
+def test_bits_in_a_row_share_a_block():
+    """Four bits in a row, read in one context, ask slots side by side, each another one; blocks use all their slots alike."""
+    _, code = small()
+    rng = np.random.default_rng(13)
+    sources = Stream(code, [" ".join(rng.choice([*(w.decode() for w in code.words), "q"], 300)) for _ in range(20)]), Spelling([b"%d" % x for x in rng.integers(0, 10**9, 3000)])
+    for source, tables in zip(sources, (WORD_TABLES, BYTE_TABLES), strict=True):
+        for table in tables:
+            asked = [[] for _ in source.order]
+            for column in source.columns():
+                for i, slot in zip(range(column.rows.start, column.rows.start + len(column.bits)), column.slots(table, source.contexts).tolist(), strict=True):
+                    asked[i].append(slot)
+            blocks = [a[k : k + 4] for a in asked for k in range(0, len(a), 4)]
+            assert all(len({s >> 4 for s in b}) == 1 and len(set(b)) == len(b) for b in blocks)
+            used = np.bincount([s & 15 for b in {tuple(b) for b in blocks} for s in b], minlength=16)
+            assert (used > 0).all()
+
+
+def test_learning_leaves_one_bit_out():
+    tables, counts = context_mixing.Tables.empty(), np.array([3, 5, 0, 1, 70_000, 2, 1, 0], np.float32)
+    tables.put("two", 8, counts)
+    odds = lambda one, zero: max(-127, round(math.log((one + 0.3) / (zero + 0.3)) * 12))
+    assert tables.odds["two"][8:12].tolist() == [odds(5, 3), odds(1, 0), odds(2, 70_000), odds(0, 1)]
+    left = tables.others["two"][16:24].tolist()
+    assert left[:2] == [odds(5, 2), odds(4, 3)] and left[3] == odds(0, 0) and left[4:7] == [odds(2, 69_999), odds(1, 70_000), odds(0, 0)]
