@@ -28,13 +28,16 @@ def fetched(pages: DataFrame) -> DataFrame:
     return pages.where(is_page(F.col("status"), F.col("content_type")) & F.col("html").isNotNull()).select("url", "html")
 
 
-def resolve_attempts(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
-    """The answer of each url: its first attempt that got any status, within the retries; else none."""
+def resolve_attempts(attempts: DataFrame, max_retries: int = 3, key: Sequence[str] = ("url",)) -> DataFrame:
+    """The answer of each url: its first attempt that got any status, within the retries; else none.
+
+    `key` tells apart what was asked for by itself, should one url be asked for several times.
+    """
     within = attempts.where(F.col("attempt") <= max_retries)
     answered = F.struct(F.col("status").isNull().alias("failed"), "attempt", "status", "content_type", "html")
-    best = within.groupBy("url").agg(F.min(answered).alias("a"))
+    best = within.groupBy(*key).agg(F.min(answered).alias("a"))
     page = is_page(F.col("a.status"), F.col("a.content_type"))
-    return best.select("url", F.col("a.attempt").alias("attempt"), F.col("a.status").alias("status"), F.when(page, F.col("a.html")).alias("html"))
+    return best.select(*key, F.col("a.attempt").alias("attempt"), F.col("a.status").alias("status"), F.when(page, F.col("a.html")).alias("html"))
 
 
 #: Rules of one host for one agent: (whether it allows, beginning of the path), in order; the last one has every path.

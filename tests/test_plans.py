@@ -253,3 +253,27 @@ def test_queries_equal_their_sql(spark, path):
         cols = ", ".join(f'"{c}"' for c in got.columns)
         want = con.execute(f"SELECT {cols} FROM ({sql[name]})").fetchall()
         assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr), name
+
+
+#: Queries that have to tell pages of the same url apart, or must not count them twice.
+REPEATED = ["fetch_retry_resolve"]
+
+
+@pytest.mark.parametrize("name", REPEATED)
+def test_urls_recorded_twice(spark, tmp_path, name):
+    """A fifth of the pages have the url of another page, with other html."""
+    import duckdb
+
+    from gleanspark import queries
+
+    con = duckdb.connect()
+    con.execute(
+        f"""COPY (SELECT p.page_id, coalesce(q.url, p.url) AS url, p.html FROM '/root/testdata/sf0.001/pages.parquet' p
+        LEFT JOIN '/root/testdata/sf0.001/pages.parquet' q ON p.page_id % 5 = 4 AND q.page_id = p.page_id - 1) TO '{tmp_path}/pages.parquet'"""
+    )
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet'")
+    assert con.execute("SELECT count(*) > count(DISTINCT url) FROM pages").fetchall() == [(True,)]
+    got = queries.queries()[name](spark, str(tmp_path))
+    cols = ", ".join(f'"{c}"' for c in got.columns)
+    want = con.execute(f"SELECT {cols} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
