@@ -147,15 +147,15 @@ def fresh_name(name: str, taken: Sequence[str]) -> str:
     return name
 
 
-def page_links(pages: DataFrame, keywords: Sequence[str]) -> DataFrame:
+def page_links(pages: DataFrame, keywords: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Every link of every page (url, html) with all that does not depend on the order of a crawl.
 
-    (page_url, link_pos, url, domain, hit, unsupported); references that cannot be parsed are left out.
+    (page_url, link_pos, url, domain, hit, unsupported), and the page's columns `keep`; references that cannot be parsed are left out.
     """
-    parsed = parse_pages(pages.where(F.col("html") != "").select("url", "html"))
-    links = parsed.select(F.col("url").alias("page_url"), F.posexplode("hrefs").alias("link_pos", "href"))
-    links = links.select("page_url", "link_pos", urls.absolute(F.col("page_url"), F.col("href")).alias("url")).where("url IS NOT NULL")
-    return with_target(links, keywords).select("page_url", "link_pos", "url", "domain", "hit", urls.is_unsupported(F.col("url")).alias("unsupported"))
+    parsed = parse_pages(pages.where(F.col("html") != "").select("url", *keep, "html"), keep=["url", *keep])
+    links = parsed.select(F.col("url").alias("page_url"), *keep, F.posexplode("hrefs").alias("link_pos", "href"))
+    links = links.select("page_url", *keep, "link_pos", urls.absolute(F.col("page_url"), F.col("href")).alias("url")).where("url IS NOT NULL")
+    return with_target(links, keywords).select("page_url", *keep, "link_pos", "url", "domain", "hit", urls.is_unsupported(F.col("url")).alias("unsupported"))
 
 
 def with_target(rows: DataFrame, keywords: Sequence[str], url: str = "url") -> DataFrame:
