@@ -173,14 +173,15 @@ def without_crawl(seeds: DataFrame) -> DataFrame:
     )
 
 
-def sitemap_results(seeds: DataFrame, sitemap: DataFrame, keywords: list[str], seen: DataFrame | None = None) -> DataFrame:
+def sitemap_results(seeds: DataFrame, sitemap: DataFrame, keywords: list[str], seen: DataFrame | None = None, record: Sequence[str] = ()) -> DataFrame:
     """What a seed's sitemap adds: (seed_pos, sm_pos, url, hit) of its targeted urls that the crawl has not seen.
 
     Sitemap urls hang on the domain itself, are spelled as they are, may be on any domain and are never
-    queued; of a url listed twice the first place counts.
+    queued; of a url listed twice the first place counts. Where the sitemap has columns `record` that tell pages of
+    one url apart, each of them counts by itself, and the columns are kept.
     """
     listed = seeds.select("seed_pos", "start_url", F.col("start_domain").alias("domain")).join(sitemap, "domain")
     listed = listed.where(~urls.is_unsupported(F.col("url")) & (F.col("url") != F.col("start_url")) & (F.col("url") != F.col("domain")))
-    listed = with_target(listed.select("seed_pos", "sm_pos", "url"), keywords).where("hit <> ''")
-    listed = listed.groupBy("seed_pos", "url", "hit").agg(F.min("sm_pos").alias("sm_pos"))
+    listed = with_target(listed.select("seed_pos", "sm_pos", "url", *record), keywords).where("hit <> ''")
+    listed = listed.groupBy("seed_pos", "url", "hit", *record).agg(F.min("sm_pos").alias("sm_pos"))
     return listed if seen is None else listed.join(seen.select("seed_pos", "url"), ["seed_pos", "url"], "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +16,12 @@ from gleanspark.config import Requests
 CONSTANT_PAGE = "\n<!doctype html>\n<html>\n<body>Hello</body>\n</html>"
 
 
-def pages_of(rows: DataFrame) -> DataFrame:
-    """Rows (url, html, and status and content_type if there are) as the page relation."""
+def pages_of(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows (url, html, and status and content_type if there are) as the page relation, with the rows' columns `keep`."""
     have = rows.columns
     status = F.col("status").cast("int") if "status" in have else F.lit(200)
     kind = F.col("content_type") if "content_type" in have else F.lit("text/html")
-    return rows.select("url", status.alias("status"), kind.alias("content_type"), "html")
+    return rows.select("url", status.alias("status"), kind.alias("content_type"), "html", *keep)
 
 
 def constant_pages(urls: DataFrame, html: str = CONSTANT_PAGE) -> DataFrame:
@@ -36,12 +36,12 @@ def robots_by_domain(robots: DataFrame) -> DataFrame:
     return robots.groupBy("domain").agg(first).select("domain", "r.status", "r.robots_txt")
 
 
-def sitemap_of(pages: DataFrame, domain: str = "domain", order: str = "page_id") -> DataFrame:
-    """A sitemap from known pages: the urls of each domain, numbered in the given order."""
+def sitemap_of(pages: DataFrame, domain: str = "domain", order: str = "page_id", keep: Sequence[str] = ()) -> DataFrame:
+    """A sitemap from known pages: the urls of each domain, numbered in the given order, with the pages' columns `keep`."""
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy(domain).orderBy(order)) - 1
-    return pages.select(F.col(domain).alias("domain"), place.cast("long").alias("sm_pos"), "url")
+    return pages.select(F.col(domain).alias("domain"), place.cast("long").alias("sm_pos"), "url", *keep)
 
 
 def declared_sitemaps(robots: DataFrame) -> DataFrame:
