@@ -114,6 +114,11 @@ def test_body_text(html, text):
     assert parse_page(html)[0] == text
 
 
+@pytest.mark.parametrize(("html", "text"), [("<h1>a = &quot</h1><p>&quot;b&quot; &quot</p>", 'a = &quot\n"b" &quot'), ("<i>x</i>y &lt z &amp<b>&copy;</b>", "x\ny &lt z &\n©"), ("\n&copy\n", "&copy")])
+def test_references_without_semicolon(html, text):
+    assert parse_page(html)[0] == text
+
+
 def test_links():
     page = '<a href="/a">x</a><a name="b">y</a><nav><a href="c">z</a></nav><A HREF=d>w</A><a href>v</a><a href="/e?x=1&amp;y=2">u</a>'
     assert parse_page(page)[1] == ["/a", "c", "d", "", "/e?x=1&y=2"]
