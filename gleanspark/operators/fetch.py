@@ -23,9 +23,9 @@ def is_page(status: Column, content_type: Column) -> Column:
     return F.coalesce(status == 200, F.lit(False)) & F.coalesce(content_type, F.lit("")).contains("text/html")
 
 
-def fetched(pages: DataFrame) -> DataFrame:
-    """(url, html) of the answers that are pages."""
-    return pages.where(is_page(F.col("status"), F.col("content_type")) & F.col("html").isNotNull()).select("url", "html")
+def fetched(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(url, html) of the answers that are pages, and their columns `keep`."""
+    return pages.where(is_page(F.col("status"), F.col("content_type")) & F.col("html").isNotNull()).select("url", "html", *keep)
 
 
 def resolve_attempts(attempts: DataFrame, max_retries: int = 3, key: Sequence[str] = ("url",)) -> DataFrame:
