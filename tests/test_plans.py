@@ -256,7 +256,7 @@ def test_queries_equal_their_sql(spark, path):
 
 
 #: Queries that have to tell pages of the same url apart, or must not count them twice.
-REPEATED = ["fetch_retry_resolve", "link_depth", "queue_admission", "queue_order", "sitemap_extension", "scrape_content", "scrape_end_to_end", "pages_histogram", "pages_per_base_url"]
+REPEATED = ["fetch_retry_resolve", "link_depth", "queue_admission", "queue_order", "sitemap_extension", "scrape_content", "scrape_end_to_end", "pages_histogram", "pages_per_base_url", "run_summary"]
 
 
 @pytest.mark.parametrize("name", REPEATED)
